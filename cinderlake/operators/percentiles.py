@@ -10,8 +10,8 @@ dashboard group (a year of one district) can hold a large part of all rows, so t
 3. only those buckets are ranked, each on its own.
 
 A repeated value is one row after step 1, and a hot group is spread over its buckets, so neither
-produces a hot task. The result equals PERCENTILE_CONT. The counts of step 1 are read by several
-later stages from one shuffle, which Spark reuses.
+produces a hot task. The result equals PERCENTILE_CONT. Where the counts of step 1 are read more
+than twice they are staged in the shared folder.
 """
 
 from __future__ import annotations
@@ -21,6 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cinderlake.session import staged
+
 BUCKETS_PER_FACTOR_E = 1024
 
 
@@ -124,7 +126,8 @@ def trimmed_percentiles(
     counts = value_counts(df, keys, value)
     if spread is None:
         return percentiles_of_counts(counts, keys, points, low=low, high=high)
-    counts = counts.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    counts = staged(counts.filter(known), "value-counts")
     quarts = percentiles_of_counts(counts, keys, {"q1": 0.25, "q3": 0.75})
     margin = F.lit(float(spread)) * (F.col("q3") - F.col("q1"))
     limits = quarts.select(

@@ -56,3 +56,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """`df` written once to the shared folder and read back.
+
+    Use it where several later stages read the same intermediate: it is computed exactly once,
+    survives lost executors, and its measured size lets Catalyst choose join strategies.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
