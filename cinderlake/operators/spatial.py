@@ -9,6 +9,8 @@ shuffles on the cell and AQE splits crowded cells.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,22 +128,25 @@ def snap_to_weather_cell(df: DataFrame, step: float, lat: str = "lat", lon: str
 
 
 def nearest_station(
-    points: DataFrame, stations: DataFrame, *, key: str, bucket: float, x: str = "lon", y: str = "lat",
-    station: str = "station",
+    points: DataFrame, stations: DataFrame, *, key: str, bucket: float | None = None, x: str = "lon",
+    y: str = "lat", station: str = "station",
 ) -> DataFrame:
     """`key, station, distance`: the nearest station of each point, planar, ties by station.
 
-    Points look at the stations of their own and the eight neighbouring buckets. A find within one
-    bucket width is final. The points left over are tried again with buckets twice as wide, until
+    Points look at the stations of their own and the eight neighbouring buckets, about one station
+    each unless `bucket` says otherwise. A find within one bucket width is final. The points left over are tried again with buckets twice as wide, until
     none is left, so the answer is exact for any layout of stations.
     """
     rows = stations.select(F.col(station).alias("station"), F.col(x).alias("sx"), F.col(y).alias("sy"))
-    extent = rows.agg(F.min("sx"), F.max("sx"), F.min("sy"), F.max("sy")).first()
+    extent = rows.agg(F.min("sx"), F.max("sx"), F.min("sy"), F.max("sy"), F.count("sx")).first()
+    if bucket is None and extent[0] is not None:
+        wide, high = extent[1] - extent[0], extent[3] - extent[2]
+        bucket = math.sqrt(wide * high / extent[4]) or max(wide, high) or 1.0
     if extent[0] is None:
         return points.select(key).filter(F.lit(False)).selectExpr(
             key, "cast(null as string) station", "cast(null as double) distance")
     span = points.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
-    reach = max([abs(a - b) for a in span for b in extent if a is not None] + [bucket])
+    reach = max([abs(a - b) for a in span for b in extent[:4] if a is not None] + [bucket])
     waiting = points.select(F.col(key), F.col(x).alias("px"), F.col(y).alias("py")).filter("px IS NOT NULL AND py IS NOT NULL")
     done = None
     size = float(bucket)
