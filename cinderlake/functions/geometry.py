@@ -72,13 +72,18 @@ def snap_rings(rings: Column | str, grid: float = 1e-5) -> Column:
         snap(v["x"], grid).alias("x"), snap(v["y"], grid).alias("y"))))
 
 
-def valid_rings(rings: Column | str) -> Column:
-    """The rings, or NULL when there is no area: no ring, fewer than four vertices, a ring that
-    does not close, or an outer ring that encloses nothing. Self-intersection is not checked."""
+def has_area(rings: Column | str) -> Column:
+    """False when there is no area: no ring, fewer than four vertices, a ring that does not close,
+    or an outer ring that encloses nothing. Self-intersection is not checked."""
     rings = as_column(rings)
     closed = F.forall(rings, lambda r: (F.size(r) >= 4) & r[0].eqNullSafe(F.element_at(r, -1)))
     usable = F.coalesce((F.size(rings) > 0) & closed, F.lit(False))
-    return F.when(F.when(usable, F.abs(signed_area(F.get(rings, F.lit(0)))) > 0).otherwise(False), rings)
+    return F.when(usable, F.abs(signed_area(F.get(rings, F.lit(0)))) > 0).otherwise(F.lit(False))
+
+
+def valid_rings(rings: Column | str) -> Column:
+    """The rings, or NULL when they have no area."""
+    return F.when(has_area(rings), as_column(rings))
 
 
 def box(edges: Column) -> Column:

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from cinderlake import schema
 
-NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
-DAY_FIRST_PATTERN = r"^\s*(\d{1,2})[-/](\d{1,2})[-/](\d{4})(?:[ T]+(\d{1,2}:\d{2}(?::\d{2})?))?\s*$"
-ISO_PATTERN = r"^\s*(\d{4}-\d{2}-\d{2})(?:[ T]+(\d{1,2}:\d{2}(?::\d{2})?))?\s*$"
+NUMBER_CHARACTERS = "0123456789+-.eE "
+DAY_FIRST = r"^\s*(\d{1,2})[-/](\d{1,2})[-/](\d{4})"
+SHORTEST_DATE = 8  # "1-1-2001"
 
 
 def as_column(c: Column | str) -> Column:
@@ -31,9 +31,13 @@ def blank_to_null(c: Column | str) -> Column:
 
 
 def num(c: Column | str) -> Column:
-    """Number with a decimal comma or point; anything else is NULL."""
-    text = F.replace(as_column(c), F.lit(","), F.lit("."))
-    return F.when(text.rlike(NUMBER_PATTERN), F.trim(text).try_cast("double"))
+    """Number with a decimal comma or point; anything else is NULL.
+
+    The check on characters keeps out what a cast would take beyond plain numbers (`1d`, `0x1p3`,
+    `NaN`).
+    """
+    text = F.translate(as_column(c), ",", ".")
+    return F.when(F.translate(text, NUMBER_CHARACTERS, "") == "", text.try_cast("double"))
 
 
 def flag(c: Column | str) -> Column:
@@ -56,22 +60,9 @@ def wall_clock(c: Column | str) -> Column:
     The text is rearranged to ISO and cast straight to TIMESTAMP_NTZ, so the session zone's
     daylight-saving gaps never shift a value.
     """
-    c = as_column(c)
-
-    def part(pattern: str, i: int) -> Column:
-        return F.regexp_extract(c, pattern, i)
-
-    def clock(pattern: str, i: int) -> Column:
-        text = part(pattern, i)
-        padded = F.when(text.substr(2, 1) == ":", F.concat(F.lit("0"), text)).otherwise(text)
-        return F.when(text == "", F.lit("00:00")).otherwise(padded)
-
-    day_first = F.concat(
-        part(DAY_FIRST_PATTERN, 3), F.lit("-"), F.lpad(part(DAY_FIRST_PATTERN, 2), 2, "0"), F.lit("-"),
-        F.lpad(part(DAY_FIRST_PATTERN, 1), 2, "0"), F.lit(" "), clock(DAY_FIRST_PATTERN, 4))
-    iso = F.concat(part(ISO_PATTERN, 1), F.lit(" "), clock(ISO_PATTERN, 2))
-    text = F.when(c.rlike(DAY_FIRST_PATTERN), day_first).when(c.rlike(ISO_PATTERN), iso)
-    return text.try_cast("timestamp_ntz")
+    c = F.trim(as_column(c))
+    iso = F.regexp_replace(c, DAY_FIRST, "$3-$2-$1")
+    return F.when(F.length(c) >= SHORTEST_DATE, iso.try_cast("timestamp_ntz"))
 
 
 def day_and_time(day: Column | str, time: Column | str) -> Column:
