@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cinderlake.catalog import star
-from cinderlake.functions import geometry as g
 from cinderlake.functions import parsing as p
 from cinderlake.operators import geography, spatial, weather
 from cinderlake.plans import layers
@@ -269,7 +268,7 @@ def snap_points(spark, d):
 def polygon_measures(spark, d):
     """Areas of perimeter rectangles per order, invalid ones left out."""
     return _perimeter_parts(spark, d).groupBy("fire_id").agg(
-        F.count(F.lit(1)).alias("parts"), F.round(F.max(g.polygon_area("rings")), 4).alias("largest"))
+        F.count(F.lit(1)).alias("parts"), F.round(F.max("area"), 4).alias("largest"))
 
 
 _MEASURE_SQL = f"""WITH {_PARTS_SQL}

@@ -52,18 +52,21 @@ def covers(x: Column, y: Column, edges: Column) -> Column:
 
 def signed_area(ring: Column) -> Column:
     """Shoelace area of one ring, positive when counter-clockwise."""
-    return F.aggregate(
-        ring_edges(ring), F.lit(0.0), lambda acc, e: acc + (e["x1"] * e["y2"] - e["x2"] * e["y1"])) / 2
+    start = F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("twice"), F.lit(False).alias("on"))
+    walked = F.aggregate(ring, start, lambda at, v: F.struct(
+        v["x"].alias("x"), v["y"].alias("y"),
+        F.when(at["on"], at["twice"] + (at["x"] * v["y"] - v["x"] * at["y"])).otherwise(at["twice"]).alias("twice"),
+        F.lit(True).alias("on")))
+    return walked["twice"] / 2
 
 
 def polygon_area(rings: Column | str) -> Column:
     """Area of the outer ring less the areas of the holes."""
     rings = as_column(rings)
     outer = F.abs(signed_area(F.get(rings, F.lit(0))))
-    holes = F.aggregate(
-        F.slice(rings, 2, F.greatest(F.size(rings) - 1, F.lit(0))), F.lit(0.0),
-        lambda acc, r: acc + F.abs(signed_area(r)))
-    return outer - holes
+    holes = F.when(F.size(rings) > 1, F.aggregate(
+        F.slice(rings, 2, F.size(rings) - 1), F.lit(0.0), lambda acc, r: acc + F.abs(signed_area(r))))
+    return outer - F.coalesce(holes, F.lit(0.0))
 
 
 def snap_rings(rings: Column | str, grid: float = 1e-5) -> Column:
@@ -72,18 +75,18 @@ def snap_rings(rings: Column | str, grid: float = 1e-5) -> Column:
         snap(v["x"], grid).alias("x"), snap(v["y"], grid).alias("y"))))
 
 
-def has_area(rings: Column | str) -> Column:
-    """False when there is no area: no ring, fewer than four vertices, a ring that does not close,
-    or an outer ring that encloses nothing. Self-intersection is not checked."""
+def closed_rings(rings: Column | str) -> Column:
+    """True when there is a ring, and every ring has at least four vertices and ends where it starts."""
     rings = as_column(rings)
     closed = F.forall(rings, lambda r: (F.size(r) >= 4) & r[0].eqNullSafe(F.element_at(r, -1)))
-    usable = F.coalesce((F.size(rings) > 0) & closed, F.lit(False))
-    return F.when(usable, F.abs(signed_area(F.get(rings, F.lit(0)))) > 0).otherwise(F.lit(False))
+    return F.coalesce((F.size(rings) > 0) & closed, F.lit(False))
 
 
-def valid_rings(rings: Column | str) -> Column:
-    """The rings, or NULL when they have no area."""
-    return F.when(has_area(rings), as_column(rings))
+def enclosed_area(rings: Column | str) -> Column:
+    """Area of well-formed rings that enclose something; NULL for anything else, which stands for
+    an empty or invalid shape. Self-intersection is not checked."""
+    area = F.when(closed_rings(rings), polygon_area(rings))
+    return F.nullif(area, F.lit(0.0))
 
 
 def box(edges: Column) -> Column:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,57 +84,52 @@ class FilterChain:
     def report(self, df: DataFrame) -> DataFrame:
         """`step, filter, removed, original, removed_share` per filter, plus a `total` row.
 
-        Conditions are counted in a single pass by tagging each row with the first filter that
-        drops it. A frame function ends such a run, as its effect can only be counted by running it.
+        Each row is tagged with the first filter that drops it, and all counts of a run of
+        conditions come from one pass. A frame function ends a run, since only running it shows
+        what it drops; the run after it is one more pass.
         """
-        step, parts, current = 1, [], df
-        start_rows = df.agg(F.count(F.lit(1)).alias("rows"))
-        run: list[RowFilter] = []
-
-        def close_run(frame: DataFrame, first: int):
-            tag = None
-            for i, f in enumerate(run):
-                hit = F.lit(first + i)
-                tag = F.when(f.dropped(frame), hit) if tag is None else tag.when(f.dropped(frame), hit)
-            counts = frame.groupBy(tag.alias("step")).agg(F.count(F.lit(1)).alias("removed")) \
-                          .filter("step IS NOT NULL")
-            parts.append(counts)
-
-        for f in self.filters:
+        runs: list[tuple[DataFrame, int, list[RowFilter]]] = [(df, 0, [])]
+        for i, f in enumerate(self.filters):
             if f.frame is None:
-                run.append(f)
-                continue
-            if run:
-                close_run(current, step)
-                step += len(run)
-                for g in run:
-                    current = g.apply(current)
-                run = []
-            after = f.apply(current)
-            before_n = current.agg(F.count(F.lit(1)).alias("b"))
-            after_n = after.agg(F.count(F.lit(1)).alias("a"))
-            # two one-row aggregates meet on a constant key
-            parts.append(
-                before_n.withColumn("k", F.lit(1)).join(after_n.withColumn("k", F.lit(1)), "k")
-                .select(F.lit(step).alias("step"), (F.col("b") - F.col("a")).alias("removed")))
-            current, step = after, step + 1
-        if run:
-            close_run(current, step)
-
-        names = df.sparkSession.createDataFrame(
-            [(i + 1, f.name) for i, f in enumerate(self.filters)], "step int, filter string")
-        removed = parts[0]
-        for p in parts[1:]:
-            removed = removed.unionByName(p)
-        per_filter = names.join(removed, "step", "left").select(
-            "step", "filter", F.coalesce("removed", F.lit(0)).cast("bigint").alias("removed"))
-        total = removed.agg(F.coalesce(F.sum("removed"), F.lit(0)).cast("bigint").alias("removed")).select(
-            F.lit(len(self.filters) + 1).alias("step"), F.lit("total").alias("filter"), "removed")
-        joined = per_filter.unionByName(total).withColumn("k", F.lit(1)).join(
-            start_rows.withColumn("k", F.lit(1)), "k")
-        return joined.select(
-            "step", "filter", "removed", F.col("rows").alias("original"),
-            F.try_divide(F.col("removed"), F.col("rows")).alias("removed_share"))
+                runs[-1][2].append(f)
+            else:
+                runs.append((f.apply(FilterChain(runs[-1][2]).apply(runs[-1][0])), i + 1, []))
+
+        counted = [_run_counts(frame, first, run) for frame, first, run in runs]
+        counts = reduce(DataFrame.unionByName, counted).agg(
+            F.map_from_entries(F.collect_list(F.struct("key", "n"))).alias("m"))  # two numbers per filter
+
+        def at(key: str) -> Column:
+            return F.col("m")[key]
+
+        removed: dict[int, Column] = {}
+        left = None
+        for r, (_, first, run) in enumerate(runs):
+            if r:
+                removed[first - 1] = left - at(f"in{first}")
+            left = at(f"in{first}")
+            for i in range(first, first + len(run)):
+                removed[i] = at(f"out{i}")
+                left = left - at(f"out{i}")
+        original = at("in0")
+        rows = [F.struct(F.lit(i + 1).alias("step"), F.lit(f.name).alias("filter"), removed[i].alias("removed"),
+                         original.alias("original")) for i, f in enumerate(self.filters)]
+        rows.append(F.struct(F.lit(len(rows) + 1).alias("step"), F.lit("total").alias("filter"),
+                             (original - left).alias("removed"), original.alias("original")))
+        return counts.select(F.inline(F.array(*rows))).withColumn(
+            "removed_share", F.try_divide(F.col("removed"), F.col("original")))
+
+
+def _run_counts(frame: DataFrame, first: int, run: list[RowFilter]) -> DataFrame:
+    """`key, n`: rows entering a run of conditions and rows each of them is the first to drop."""
+    tag = F.lit(None).cast("int")
+    for i in reversed(range(len(run))):
+        tag = F.when(run[i].dropped(frame), F.lit(first + i)).otherwise(tag)
+    tagged = frame.select(F.explode(F.array(tag)).alias("tag"))
+    names = [f"in{first}", *[f"out{first + i}" for i in range(len(run))]]
+    sums = tagged.agg(F.count(F.lit(1)).alias(names[0]), *[
+        F.count(F.when(F.col("tag") == first + i, True)).alias(names[i + 1]) for i in range(len(run))])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).alias("n")) for n in names])))
 
 
 def default_chain(min_area: float = 0.5) -> FilterChain:

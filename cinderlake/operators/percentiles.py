@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinderlake.session import staged
@@ -32,9 +32,14 @@ def monotone_bucket(value: Column) -> Column:
     return F.when(value < 0, -size).otherwise(size).cast("int")
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], prefix: str) -> Column:
-    """Null-safe equality of `keys` with their prefixed copies in `right`."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"{prefix}{k}"]) for k in keys])
+def _listed(keys: list[str], alias: str | None = None) -> str:
+    prefix = f"{alias}." if alias else ""
+    return ", ".join(f"{prefix}`{key}`" for key in keys)
+
+
+def _same(keys: list[str], left: str, right: str) -> str:
+    """Null-safe equality: a group whose key is NULL is a group like any other."""
+    return " AND ".join(f"{left}.`{key}` <=> {right}.`{key}`" for key in keys)
 
 
 def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -51,48 +56,49 @@ def percentiles_of_counts(
     counts: DataFrame, keys: list[str], points: dict[str, float], *, low: str | None = None,
     high: str | None = None, total: str | None = None,
 ) -> DataFrame:
-    """Percentiles per group of a `value_counts` frame, with optional minimum, maximum and sum."""
-    histogram = counts.groupBy(*keys, "bucket").agg(
-        F.sum("n").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.sum(F.col("value") * F.col("n")).alias("s"))
-    group = Window.partitionBy(*keys)
-    running = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = histogram.select(
-        *keys, "bucket",
-        (F.sum("n").over(running) - F.col("n")).alias("before"), "n",
-        F.sum("n").over(group).alias("size"), F.min("lo").over(group).alias("lo"),
-        F.max("hi").over(group).alias("hi"), F.sum("s").over(group).alias("s"))
-
-    def position(p: float) -> Column:
-        return F.lit(float(p)) * (F.col("size") - 1)
-
-    def holds(rank: Column, first: str, width: str) -> Column:
-        return (rank >= F.col(first)) & (rank < F.col(first) + F.col(width))
-
-    wanted = reduce(lambda a, b: a | b, [
-        holds(f(position(p)), "before", "n") for p in points.values() for f in (F.floor, F.ceil)])
-    targets = ranked.filter(wanted).select(
-        *[F.col(k).alias(f"t_{k}") for k in keys], F.col("bucket").alias("t_bucket"),
-        "before", "size", "lo", "hi", "s")
-    in_bucket = Window.partitionBy(*keys, "bucket").orderBy("value").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    picked = (
-        counts.join(targets, _same_keys(counts, targets, keys, "t_") & (F.col("bucket") == F.col("t_bucket")))
-        .withColumn("first", F.col("before") + F.sum("n").over(in_bucket) - F.col("n"))
-    )
-    at = {}
-    for name, p in points.items():
-        at[f"{name}_floor"] = F.max(F.when(holds(F.floor(position(p)), "first", "n"), F.col("value")))
-        at[f"{name}_ceil"] = F.max(F.when(holds(F.ceil(position(p)), "first", "n"), F.col("value")))
-    found = picked.groupBy(*keys).agg(
-        *[c.alias(n) for n, c in at.items()], F.max("size").alias("size"),
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("s").alias("s"))
-    extra = [F.col(c).alias(n) for c, n in (("lo", low), ("hi", high), ("s", total)) if n]
-    return found.select(*keys, *[
-        (F.col(f"{n}_floor") + (F.col(f"{n}_ceil") - F.col(f"{n}_floor"))
-         * (position(p) - F.floor(position(p)))).alias(n)
-        for n, p in points.items()
-    ], *extra)
+    """Percentiles per group of a `value_counts` frame, with optional minimum, maximum and sum.
+
+    `before` is the number of rows of the group in lower buckets, `first` the rank of a value's
+    first row; a value holds the ranks `first` to `first + n - 1`.
+    """
+    k = _listed(keys)
+
+    def rank(p: float, rounding: str) -> str:
+        return f"{rounding}({float(p)}D * (size - 1))"
+
+    def holds(p: float, rounding: str, start: str) -> str:
+        return f"({rank(p, rounding)} >= {start} AND {rank(p, rounding)} < {start} + n)"
+
+    wanted = " OR ".join(holds(p, r, "before") for p in points.values() for r in ("floor", "ceil"))
+    ends = ", ".join(
+        f"max(CASE WHEN {holds(p, r, 'first')} THEN value END) AS `{name}_{r}`"
+        for name, p in points.items() for r in ("floor", "ceil"))
+    blended = ", ".join(
+        f"`{name}_floor` + (`{name}_ceil` - `{name}_floor`) * ({float(p)}D * (size - 1) - {rank(p, 'floor')}) AS `{name}`"
+        for name, p in points.items())
+    extra = "".join(f", {c} AS `{n}`" for c, n in (("lo", low), ("hi", high), ("s", total)) if n)
+    return counts.sparkSession.sql(f"""
+        WITH histogram AS (
+          SELECT {k}, bucket, sum(n) AS n, min(value) AS lo, max(value) AS hi, sum(value * n) AS s
+          FROM {{counts}} GROUP BY {k}, bucket
+        ),
+        ranked AS (
+          SELECT {k}, bucket, n, sum(n) OVER (PARTITION BY {k} ORDER BY bucket ROWS UNBOUNDED PRECEDING) - n AS before,
+                 sum(n) OVER (PARTITION BY {k}) AS size, min(lo) OVER (PARTITION BY {k}) AS lo,
+                 max(hi) OVER (PARTITION BY {k}) AS hi, sum(s) OVER (PARTITION BY {k}) AS s
+          FROM histogram
+        ),
+        targets AS (SELECT {k}, bucket, before, size, lo, hi, s FROM ranked WHERE {wanted}),
+        picked AS (
+          SELECT {_listed(keys, "c")}, c.value, c.n, t.size, t.lo, t.hi, t.s,
+                 t.before + sum(c.n) OVER (
+                   PARTITION BY {_listed(keys, "c")}, c.bucket ORDER BY c.value ROWS UNBOUNDED PRECEDING) - c.n AS first
+          FROM {{counts}} c JOIN targets t ON {_same(keys, "c", "t")} AND c.bucket = t.bucket
+        ),
+        found AS (
+          SELECT {k}, {ends}, max(size) AS size, min(lo) AS lo, max(hi) AS hi, max(s) AS s FROM picked GROUP BY {k}
+        )
+        SELECT {k}, {blended}{extra} FROM found""", counts=counts)
 
 
 def exact_percentiles(
@@ -129,16 +135,16 @@ def trimmed_percentiles(
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     counts = staged(counts.filter(known), "value-counts")
     quarts = percentiles_of_counts(counts, keys, {"q1": 0.25, "q3": 0.75})
-    margin = F.lit(float(spread)) * (F.col("q3") - F.col("q1"))
-    limits = quarts.select(
-        *[F.col(k).alias(f"l_{k}") for k in keys],
-        (F.col("q1") - margin).alias("floor_limit"),
-        (F.lit(float(upper)) if upper is not None else F.col("q3") + margin).alias("ceil_limit"))
+    margin = f"{float(spread)}D * (q3 - q1)"
+    ceiling = f"{float(upper)}D" if upper is not None else f"q3 + {margin}"
     # limits reach the counts through the buckets, so that a hot group stays spread out
-    spans = counts.select(*keys, "bucket").distinct()
-    reach = spans.join(limits, _same_keys(spans, limits, keys, "l_")).select(
-        *[F.col(k).alias(f"r_{k}") for k in keys], F.col("bucket").alias("r_bucket"), "floor_limit", "ceil_limit")
-    kept = counts.join(reach, _same_keys(counts, reach, keys, "r_") & (F.col("bucket") == F.col("r_bucket"))) \
-        .filter(F.col("value").between(F.col("floor_limit"), F.col("ceil_limit"))) \
-        .select(*keys, "bucket", "value", "n")
+    kept = counts.sparkSession.sql(f"""
+        WITH spans AS (SELECT DISTINCT {_listed(keys)}, bucket FROM {{counts}}),
+        reach AS (
+          SELECT {_listed(keys, "s")}, s.bucket, q1 - {margin} AS low, {ceiling} AS high
+          FROM spans s JOIN {{quarts}} q ON {_same(keys, "s", "q")}
+        )
+        SELECT {_listed(keys, "c")}, c.bucket, c.value, c.n
+        FROM {{counts}} c JOIN reach r ON {_same(keys, "c", "r")} AND c.bucket = r.bucket
+        WHERE c.value BETWEEN r.low AND r.high""", counts=counts, quarts=quarts)
     return percentiles_of_counts(kept, keys, points, low=low, high=high)

@@ -110,9 +110,10 @@ def perimeter_parts(parts: DataFrame, grid: float = 1e-5) -> DataFrame:
     The union of a fire's parts stays in long form, one row per part, so that a fire with very many
     parts never becomes one row.
     """
-    # one-element explode: the snapped rings are computed once and not again in every later use
+    # one-element explodes: each expression is computed once and not again in every later use
     snapped = parts.select("fire_id", "part", F.explode(F.array(g.snap_rings("rings", grid))).alias("rings"))
-    return snapped.filter(g.has_area("rings")).withColumn("area", g.polygon_area("rings"))
+    measured = snapped.select("*", F.explode(F.array(g.enclosed_area("rings"))).alias("area"))
+    return measured.filter(F.col("area").isNotNull())
 
 
 def attach_perimeters(fact: DataFrame, parts: DataFrame, key: str = "id") -> DataFrame:

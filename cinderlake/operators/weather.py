@@ -28,11 +28,13 @@ def incident_spans(df: DataFrame, incident: str = "id", source: str = "source_fi
         separate = wall_clock(F.concat_ws(" ", d, F.when(d.isNotNull(), t)))
         return F.when(_pick(df, combined).isNotNull(), wall_clock(_pick(df, combined))).otherwise(separate)
 
-    spans = df.select(
+    fields = F.struct(
         _pick(df, incident).alias("incident_id"), F.col(source).alias("source_file"),
         num(_pick(df, "LAT")).alias("lat"), num(_pick(df, "LON")).alias("lon"),
         moment("DHINICIO", "DATAALERTA", "HORAALERTA").cast("date").alias("start_date"),
         moment("DHFIM", "DATAEXTINCAO", "HORAEXTINCAO").cast("date").alias("end_date"))
+    # one-element explode: the filter reads the parsed fields instead of parsing them again
+    spans = df.select(F.inline(F.array(fields)))
     usable = spans.filter("incident_id IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL AND start_date IS NOT NULL")
     return usable.withColumn("end_date", F.coalesce("end_date", "start_date"))
 
