@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cinderlake.functions.geometry import polygon_area
+
 UNIT_COLUMNS = ("lau3_code", "lau3", "lau2_code", "lau2", "lau1_code", "lau1")
 
 
@@ -80,6 +82,15 @@ def rollup_by_prefix(
     )
 
 
+def units_from_boundaries(boundaries: DataFrame, rings: str = "rings") -> DataFrame:
+    """The three-level unit table from parish polygons; areas are taken in the polygons' own units.
+
+    Outlines of the upper levels come from `spatial.dissolved_edges` on the same code prefixes.
+    """
+    measured = boundaries.select("dicofre", "freguesia", "concelho", "distrito", polygon_area(rings).alias("area"))
+    return rollup_by_prefix(measured)
+
+
 def join_by_statistical_code(
     df: DataFrame, lau: DataFrame, ine: str = "INE", width: int = 6, level: int = 3
 ) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,21 @@ def read_occurrence_xml(spark: SparkSession, path: str | list[str], row_tag: str
     return raw.select(*cells).filter(any_value)
 
 
+def find_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = False) -> DataFrame:
+    """`source_file, path, modified` of the matching files, sorted by name; no such folder gives no rows."""
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern) \
+                       .option("recursiveFileLookup", str(recursive).lower())
+    try:
+        found = reader.load(path)
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return spark.createDataFrame([], "source_file string, path string, modified timestamp")
+    return found.select(
+        F.element_at(F.split("path", "/"), -1).alias("source_file"), "path", F.col("modificationTime").alias("modified"),
+    ).orderBy("source_file", "path")
+
+
 def _text_reader(spark: SparkSession, recursive: bool, pattern: str | None):
     reader = (
         spark.read.option("sep", "|").option("header", "true").option("inferSchema", "false")
@@ -51,9 +67,12 @@ def read_pipe_csv(
     encoding: str | None = None,
     na_tokens: bool = True,
     source_column: str = "source_file",
+    ingest_column: str | None = None,
 ) -> DataFrame:
     """Pipe-separated files as text columns plus the name of the file each row came from.
 
+    `ingest_column` adds the file's modification time in microseconds, an explicit write order.
+
     Header names are trimmed. With `columns` given, the header of each file is checked against
     them instead of trusting the first file's. With `encoding=None` each file is taken as UTF-8,
     or as Latin-1 as a whole when any of its rows is not valid UTF-8. The files are scanned as
@@ -64,23 +83,28 @@ def read_pipe_csv(
     if columns:
         reader = reader.schema(", ".join(f"`{c}` string" for c in columns)).option("enforceSchema", "false")
     byte_wise = encoding is None
+    tags = [source_column] + ([ingest_column] if ingest_column else [])
     raw = reader.option("encoding", "ISO-8859-1" if byte_wise else encoding).csv(path)
     names = [c.strip() for c in raw.columns]
     raw = raw.toDF(*names)
     if byte_wise:
-        raw = _decode_per_file(raw, names, source_column)
+        raw = _decode_per_file(_with_file_tags(raw, tags).select("*", F.col("_metadata.file_path").alias("_path")), names, tags)
     else:
-        raw = raw.select("*", F.col("_metadata.file_name").alias(source_column))
+        raw = _with_file_tags(raw, tags)
     if na_tokens:
-        raw = raw.select(*[missing_to_null(c).alias(c) for c in names], source_column)
+        raw = raw.select(*[missing_to_null(c).alias(c) for c in names], *tags)
     return raw
 
 
-def _decode_per_file(raw: DataFrame, names: list[str], source_column: str) -> DataFrame:
+def _with_file_tags(raw: DataFrame, tags: list[str]) -> DataFrame:
+    values = [F.col("_metadata.file_name"), F.unix_micros("_metadata.file_modification_time")]
+    return raw.select("*", *[v.alias(n) for v, n in zip(values, tags)])
+
+
+def _decode_per_file(raw: DataFrame, names: list[str], tags: list[str]) -> DataFrame:
     def as_utf8(c: str):
         return F.encode(F.col(c), "ISO-8859-1").cast("string")
 
-    raw = raw.select("*", F.col("_metadata.file_path").alias("_path"))
     broken_row = reduce(lambda a, b: a | b, [~F.is_valid_utf8(as_utf8(c)) for c in names])
     latin = (
         raw.filter(F.coalesce(broken_row, F.lit(False)))
@@ -91,7 +115,7 @@ def _decode_per_file(raw: DataFrame, names: list[str], source_column: str) -> Da
     marked = raw.join(latin, F.col("_path") == F.col("_latin_path"), "left")
     return marked.select(
         *[F.when(F.col("_latin").isNull(), as_utf8(c)).otherwise(F.col(c)).alias(c) for c in names],
-        F.element_at(F.split("_path", "/"), -1).alias(source_column),
+        *tags,
     )
 
 
