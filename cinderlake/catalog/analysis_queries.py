@@ -251,6 +251,57 @@ SELECT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o_orde
 FROM customer c GROUP BY 1"""
 
 
+def weighted_share(spark, d):
+    """Share of the burned area that lies where another measure is high."""
+    rows = star.fires(spark, d).join(star.table(spark, d, "customer"), F.col("id_rel_lau") == F.col("c_custkey"))
+    return _round(analysis.conditional_share(
+        rows, ["year"], F.col("c_acctbal") > 5000, "share", weight=F.col("total_area")), share=6)
+
+
+_WEIGHTED_SQL = f"""WITH {star.FIRES_SQL}
+SELECT year, round(sum(CASE WHEN c_acctbal > 5000 THEN total_area ELSE 0 END) / sum(total_area), 6) AS share
+FROM fires JOIN customer ON id_rel_lau = c_custkey GROUP BY year"""
+
+
+def _units(spark, d):
+    """Fires with the number of line items as deployed units and their mean quantity."""
+    per = star.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(
+        F.count(F.lit(1)).alias("units"), F.sum("l_quantity").alias("staff"))
+    return star.timed_fires(spark, d).join(per, F.col("id") == F.col("k"))
+
+
+_UNITS_SQL = f"""{star.FIRES_SQL}, {star.TIMES_SQL},
+units AS (SELECT timed.*, u.units, u.staff FROM timed JOIN (
+          SELECT l_orderkey, count(*) AS units, sum(l_quantity) AS staff FROM lineitem GROUP BY 1) u ON id = l_orderkey)"""
+
+
+def duration_by_units(spark, d):
+    """Mean hours to extinction by fire type and band of deployed units."""
+    rows = _units(spark, d).filter("extinguishing_ts > alarm_ts")
+    hours = millis_between("alarm_ts", "extinguishing_ts") / 3_600_000
+    return _round(analysis.band_aggregate(
+        rows, {"units_band": analysis.band("units", 3.0)}, {"fires": F.count(F.lit(1)), "mean_hours": F.avg(hours)},
+        by=["id_ref_fire_type"]), mean_hours=6)
+
+
+_BY_UNITS_SQL = f"""WITH {_UNITS_SQL}
+SELECT id_ref_fire_type, floor(units / 3) * 3 AS units_band, count(*) AS fires,
+       round(avg(date_diff('microsecond', alarm_ts, extinguishing_ts) / 3.6e9), 6) AS mean_hours
+FROM units WHERE extinguishing_ts > alarm_ts GROUP BY ALL"""
+
+
+def staff_per_area(spark, d):
+    """Staff per burned thousand of area, a ratio of sums per year."""
+    rows = _units(spark, d).filter("total_area IS NOT NULL").groupBy("year").agg(
+        F.sum("staff").alias("staff"), F.sum("total_area").alias("total_area"))
+    return _round(rows.select("year", "staff", F.try_divide(F.col("staff") * 1000, "total_area").alias("per_area")), per_area=8)
+
+
+_STAFF_SQL = f"""WITH {_UNITS_SQL}
+SELECT year, sum(staff) AS staff, round(sum(staff) * 1000 / sum(total_area), 8) AS per_area
+FROM units WHERE total_area IS NOT NULL GROUP BY year"""
+
+
 # --- streaming -------------------------------------------------------------------------------
 
 def _event_stream(spark, d):
@@ -310,6 +361,9 @@ SELECT floor(temp_max / 5) * 5 AS band, lau1_code, count(*) AS fires FROM warm G
     "topk_types_severe": (topk_types_severe, _TOPK_SQL),
     "conditional_share": (conditional_share, _SHARE_IF_SQL),
     "presence_mean": (presence_mean, _PRESENCE_SQL),
+    "weighted_share": (weighted_share, _WEIGHTED_SQL),
+    "duration_by_units": (duration_by_units, _BY_UNITS_SQL),
+    "staff_per_area": (staff_per_area, _STAFF_SQL),
     "stream_hourly_counts": (stream_hourly_counts, _STREAM_SQL),
     "stream_last_writes": (stream_last_writes, _STREAM_LAST_SQL),
 }

@@ -13,6 +13,12 @@ def distinct_members(df: DataFrame, label: str) -> DataFrame:
     return df.select(F.lower(label).alias("raw_name")).filter("raw_name IS NOT NULL").distinct()
 
 
+def distinct_labels(df: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """`dimension, raw_name` of several dimensions from one pass; `labels` maps dimension to column."""
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.lower(c).alias("raw_name")) for d, c in labels.items()])
+    return df.select(F.inline(pairs)).filter("raw_name IS NOT NULL").distinct()
+
+
 def new_members(df: DataFrame, label: str, ref: DataFrame) -> DataFrame:
     """Labels of `df` that the dimension does not know yet, compared in lower case."""
     known = ref.select(F.lower("raw_name").alias("_known"))

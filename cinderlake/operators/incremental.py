@@ -16,10 +16,14 @@ def pick_per_key(df: DataFrame, keys: list[str], order: list[str], last: bool =
     A mergeable maximum over the whole row: each task keeps one row per key before the shuffle, so
     a key that many rows share is no heavier than any other. `order` has to be total.
     """
+    def quoted(names: list[str]) -> str:
+        return ", ".join(f"`{c}`" for c in names)
+
     rest = [c for c in df.columns if c not in keys]
-    choose = F.max_by if last else F.min_by
-    picked = df.groupBy(*keys).agg(choose(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return picked.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    choose = "max_by" if last else "min_by"
+    picked = df.groupBy(*keys).agg(
+        F.expr(f"{choose}(struct({quoted(rest)}), struct({quoted(order)}))").alias("_row"))
+    return picked.selectExpr(*[f"`{c}`" if c in keys else f"_row.`{c}` AS `{c}`" for c in df.columns])
 
 
 def last_write_wins(df: DataFrame, keys: tuple[str, ...] = ("ANO", "original_id"), order: tuple[str, ...] = ("ingest_seq",)) -> DataFrame:

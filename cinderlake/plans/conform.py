@@ -12,6 +12,7 @@ from cinderlake.functions import parsing as p
 from cinderlake.operators import dimensions, spatial
 from cinderlake.operators.incremental import keep_before
 from cinderlake.operators.percentiles import exact_percentiles
+from cinderlake.session import staged
 
 FACT_COLUMNS = (
     "original_id year id_rel_lau locality id_ref_fire_type ts rekindle slash_and_burn agricultural total_area "
@@ -82,10 +83,13 @@ def conform(
     codes = codes or {n: schema.code_table(typed.sparkSession, n) for n in schema.CODE_TABLES}
     if start is not None:
         typed = typed.filter(p.on_or_after(F.col("ANO"), F.col("MES"), F.col("DIA"), start))
-    extended = {
-        name: dimensions.map_codes(dimensions.extend_dimension(typed, label, dims[name]), codes[name])
-        for name, label in schema.DIMENSION_LABELS.items()
-    }
+    # one pass finds the labels of all dimensions; from here on they are small tables
+    labels = staged(dimensions.distinct_labels(typed, schema.DIMENSION_LABELS), "labels")
+    extended = {}
+    for name in schema.DIMENSION_LABELS:
+        own = labels.filter(F.col("dimension") == name)
+        grown = dimensions.extend_dimension(own, "raw_name", dims[name])
+        extended[name] = staged(dimensions.map_codes(grown, codes[name]), f"ref-{name}")
     required = ["original_id", "ANO", "TIPO", "MES", "DIA", "HORA"]
     moment = p.hour_stamp(F.col("ANO"), F.col("MES"), F.col("DIA"), F.col("HORA"))
     complete = moment.isNotNull()

@@ -78,7 +78,6 @@ def build_fact(
     good, bad = typed_from_files(spark, source, start, pattern)
     dims = {n: _table(spark, f"{root}/ref/{n}", "id int, raw_name string, code string") for n in schema.CODE_TABLES}
     done = conform.conform(staged(good, "typed"), parishes, dims, start=start, cell=cell)
-    ready = {n: staged(d, f"ref-{n}") for n, d in done.dimensions.items()}
     fresh = staged(done.fact, "fact")
     if start is not None:
         stored = _table(spark, f"{root}/fire", ", ".join(f"`{n}` {t}" for n, t in fresh.dtypes))
@@ -86,7 +85,7 @@ def build_fact(
     write_fact(fresh, f"{root}/fire")
     bad.write.mode("overwrite").parquet(f"{root}/quarantine")
     done.rejected.write.mode("overwrite").parquet(f"{root}/rejected")
-    for name, frame in ready.items():
+    for name, frame in done.dimensions.items():  # staged, so not read from what is overwritten
         frame.coalesce(1).write.mode("overwrite").parquet(f"{root}/ref/{name}")
 
 

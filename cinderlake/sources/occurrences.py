@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderlake import schema
-from cinderlake.functions.parsing import missing_to_null
+
+# Files have up to 80 columns, so the per-column expressions below are SQL text: one parse each
+# select instead of thousands of calls into the JVM.
+NA_LIST = ", ".join("'" + token + "'" for token in schema.NA_TOKENS)
 
 BROADCAST_FILE_LIMIT = 100_000  # file names; a table of this many stays within a few MB
 
@@ -92,31 +95,33 @@ def read_pipe_csv(
     else:
         raw = _with_file_tags(raw, tags)
     if na_tokens:
-        raw = raw.select(*[missing_to_null(c).alias(c) for c in names], *tags)
+        raw = raw.selectExpr(*[f"CASE WHEN {c} NOT IN ({NA_LIST}) THEN {c} END AS {c}" for c in map(_quoted, names)], *tags)
     return raw
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _with_file_tags(raw: DataFrame, tags: list[str]) -> DataFrame:
     values = [F.col("_metadata.file_name"), F.unix_micros("_metadata.file_modification_time")]
     return raw.select("*", *[v.alias(n) for v, n in zip(values, tags)])
 
 
 def _decode_per_file(raw: DataFrame, names: list[str], tags: list[str]) -> DataFrame:
-    def as_utf8(c: str):
-        return F.encode(F.col(c), "ISO-8859-1").cast("string")
+    def as_utf8(c: str) -> str:
+        return f"cast(encode({_quoted(c)}, 'ISO-8859-1') AS string)"
 
-    broken_row = reduce(lambda a, b: a | b, [~F.is_valid_utf8(as_utf8(c)) for c in names])
+    broken_row = " OR ".join(f"NOT is_valid_utf8({as_utf8(c)})" for c in names)
     latin = (
-        raw.filter(F.coalesce(broken_row, F.lit(False)))
+        raw.filter(f"coalesce({broken_row}, false)")
         .groupBy(F.col("_path").alias("_latin_path")).agg(F.lit(True).alias("_latin"))
     )
     if len(raw.inputFiles()) <= BROADCAST_FILE_LIMIT:
         latin = F.broadcast(latin)
     marked = raw.join(latin, F.col("_path") == F.col("_latin_path"), "left")
-    return marked.select(
-        *[F.when(F.col("_latin").isNull(), as_utf8(c)).otherwise(F.col(c)).alias(c) for c in names],
-        *tags,
-    )
+    decoded = [f"CASE WHEN _latin IS NULL THEN {as_utf8(c)} ELSE {_quoted(c)} END AS {_quoted(c)}" for c in names]
+    return marked.selectExpr(*decoded, *tags)
 
 
 def typed_occurrences(text: DataFrame) -> DataFrame:
@@ -127,16 +132,17 @@ def typed_occurrences(text: DataFrame) -> DataFrame:
     with `accepted` and `quarantined`.
     """
     types = {c: t for c, t in schema.typed_columns().items() if c in text.columns}
-    blank = {c: F.nullif(F.col(c), F.lit("")) for c in types}
-    bad = F.array_compact(F.array(*[
-        F.when(blank[c].isNotNull() & blank[c].try_cast(t).isNull(), F.lit(c))
-        for c, t in types.items() if t != "string"
-    ]))
-    extra = [c for c in text.columns if c not in types]
-    return text.select(
-        *[blank[c].try_cast(t).alias("original_id" if c == "id" else c) for c, t in types.items()],
-        *extra,
-        bad.alias("bad_columns"),
+
+    def cast(c: str) -> str:
+        return f"try_cast(nullif({_quoted(c)}, '') AS {types[c]})"
+
+    failed = ", ".join(
+        f"CASE WHEN nullif({_quoted(c)}, '') IS NOT NULL AND {cast(c)} IS NULL THEN '{c}' END"
+        for c, t in types.items() if t != "string")
+    return text.selectExpr(
+        *[f"{cast(c)} AS {'original_id' if c == 'id' else _quoted(c)}" for c in types],
+        *[_quoted(c) for c in text.columns if c not in types],
+        f"array_compact(array({failed or 'cast(null AS string)'})) AS bad_columns",
     )
 
 
