@@ -1,17 +1,19 @@
-"""Exact interpolated percentiles that never gather one group in one task.
+"""Exact interpolated percentiles that never gather an unbounded group in one task.
 
 Spark's built-in exact percentile keeps a map of every distinct value of a group in one task. A
 dashboard group (a year of one district) can hold a large part of all rows, so the work is split:
 
 1. rows collapse to `(keys, bucket, value) -> n`, combined on the map side, where `bucket` is a
-   monotone function of the value (about a thousand buckets per factor e);
-2. a histogram per `(keys, bucket)` with a running total, a few ten thousand rows per group at
-   most, tells which buckets hold the wanted ranks;
-3. only those buckets are ranked, each on its own.
+   monotone function of the value (about a thousand buckets per factor e); the counts are staged
+   in the shared folder, as everything after reads them several times;
+2. the number of distinct values of the largest group is measured. Up to `DIRECT_LIMIT` the
+   built-in percentile runs over the counts, its map being bounded by that number;
+3. beyond it, a histogram per `(keys, bucket)` with a running total, a few ten thousand rows per
+   group at most, tells which buckets hold the wanted ranks, and only those buckets are ranked,
+   each on its own.
 
 A repeated value is one row after step 1, and a hot group is spread over its buckets, so neither
-produces a hot task. The result equals PERCENTILE_CONT. Where the counts of step 1 are read more
-than twice they are staged in the shared folder.
+produces a hot task. Both ways equal PERCENTILE_CONT.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from cinderlake.session import staged
 
 BUCKETS_PER_FACTOR_E = 1024
+DIRECT_LIMIT = 200_000  # distinct values of a group that one task may hold, some 20 MB
 
 
 def monotone_bucket(value: Column) -> Column:
@@ -52,15 +55,37 @@ def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     )
 
 
+def largest_group(counts: DataFrame, keys: list[str]) -> int:
+    """Number of distinct values of the group that has most."""
+    sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("values"))
+    return sizes.agg(F.max("values")).first()[0] or 0
+
+
+def _direct_percentiles(
+    counts: DataFrame, keys: list[str], points: dict[str, float], low: str | None, high: str | None, total: str | None
+) -> DataFrame:
+    """Built-in percentiles over counts whose groups have been measured to be small."""
+    wanted = F.percentile("value", F.array(*[F.lit(float(p)) for p in points.values()]), F.col("n"))
+    found = counts.groupBy(*keys).agg(
+        wanted.alias("_p"), F.min("value").alias("_lo"), F.max("value").alias("_hi"),
+        F.sum(F.col("value") * F.col("n")).alias("_s"))
+    extra = [F.col(c).alias(n) for c, n in (("_lo", low), ("_hi", high), ("_s", total)) if n]
+    return found.select(*keys, *[F.get("_p", F.lit(i)).alias(n) for i, n in enumerate(points)], *extra)
+
+
 def percentiles_of_counts(
     counts: DataFrame, keys: list[str], points: dict[str, float], *, low: str | None = None,
-    high: str | None = None, total: str | None = None,
+    high: str | None = None, total: str | None = None, direct: bool = False,
 ) -> DataFrame:
     """Percentiles per group of a `value_counts` frame, with optional minimum, maximum and sum.
 
+    `direct` says that no group has more than `DIRECT_LIMIT` values.
+
     `before` is the number of rows of the group in lower buckets, `first` the rank of a value's
     first row; a value holds the ranks `first` to `first + n - 1`.
     """
+    if direct:
+        return _direct_percentiles(counts, keys, points, low, high, total)
     k = _listed(keys)
 
     def rank(p: float, rounding: str) -> str:
@@ -103,10 +128,12 @@ def percentiles_of_counts(
 
 def exact_percentiles(
     df: DataFrame, keys: list[str], value: str, points: dict[str, float], *, low: str | None = None,
-    high: str | None = None, total: str | None = None,
+    high: str | None = None, total: str | None = None, direct_limit: int = DIRECT_LIMIT,
 ) -> DataFrame:
     """Interpolated percentiles of `value` per group; `points` maps output names to fractions."""
-    return percentiles_of_counts(value_counts(df, keys, value), keys, points, low=low, high=high, total=total)
+    counts = staged(value_counts(df, keys, value), "value-counts")
+    return percentiles_of_counts(counts, keys, points, low=low, high=high, total=total,
+                                 direct=largest_group(counts, keys) <= direct_limit)
 
 
 def approximate_percentiles(
@@ -121,7 +148,7 @@ def approximate_percentiles(
 def trimmed_percentiles(
     df: DataFrame, keys: list[str], value: str, points: dict[str, float], *,
     spread: float | None = 1.5, upper: float | None = None,
-    low: str = "min", high: str = "max",
+    low: str = "min", high: str = "max", direct_limit: int = DIRECT_LIMIT,
 ) -> DataFrame:
     """Percentiles after outliers are cut per group, computed again on what is left.
 
@@ -129,14 +156,17 @@ def trimmed_percentiles(
     fixed `upper` when that is given. `spread=None` cuts nothing. Groups with a NULL key take no
     part when values are cut, as their limits are looked up by key.
     """
-    counts = value_counts(df, keys, value)
     if spread is None:
-        return percentiles_of_counts(counts, keys, points, low=low, high=high)
+        return exact_percentiles(df, keys, value, points, low=low, high=high, direct_limit=direct_limit)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    counts = staged(counts.filter(known), "value-counts")
-    quarts = percentiles_of_counts(counts, keys, {"q1": 0.25, "q3": 0.75})
+    counts = staged(value_counts(df, keys, value).filter(known), "value-counts")
+    direct = largest_group(counts, keys) <= direct_limit
+    quarts = percentiles_of_counts(counts, keys, {"q1": 0.25, "q3": 0.75}, direct=direct)
     margin = f"{float(spread)}D * (q3 - q1)"
     ceiling = f"{float(upper)}D" if upper is not None else f"q3 + {margin}"
+    if direct:
+        kept = counts.join(quarts, keys).filter(f"value BETWEEN q1 - {margin} AND {ceiling}")
+        return percentiles_of_counts(kept, keys, points, low=low, high=high, direct=True)
     # limits reach the counts through the buckets, so that a hot group stays spread out
     kept = counts.sparkSession.sql(f"""
         WITH spans AS (SELECT DISTINCT {_listed(keys)}, bucket FROM {{counts}}),

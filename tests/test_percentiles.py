@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cinderlake.operators import percentiles as pc
 
 POINTS = {"p25": 0.25, "median": 0.5, "p75": 0.75}
+LIMITS = [0, pc.DIRECT_LIMIT]  # through the histogram, and directly
 
 
 def expected(frame, keys):
@@ -28,16 +29,17 @@ def as_dict(df, n=2):
     return {tuple(r)[:n]: tuple(r)[n:] for r in df.collect()}
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(
     st.sampled_from([2001, 2002]), st.sampled_from(["a", "b", None]),
     st.one_of(st.none(), st.floats(-1e9, 1e9), st.integers(-3, 3).map(float))), min_size=1, max_size=60))
 def test_equals_numpy(spark, data):
     frame = pd.DataFrame(data, columns=["y", "k", "v"]).astype({"v": float})
     df = spark.createDataFrame(data, "y int, k string, v double")
-    got = pc.exact_percentiles(df, ["y", "k"], "v", POINTS, low="lo_", high="hi_", total="sum_")
     want = expected(frame, ["y", "k"])
-    check(as_dict(got), want)
+    for limit in LIMITS:
+        got = pc.exact_percentiles(df, ["y", "k"], "v", POINTS, low="lo_", high="hi_", total="sum_", direct_limit=limit)
+        check(as_dict(got), want)
 
 
 def test_bucket_never_decreases(spark):
@@ -51,7 +53,7 @@ def test_hot_group_and_repeated_value(spark):
     hot = spark.range(60000).select(
         F.when(F.col("id") < 40000, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 9).cast("string"))).alias("k"),
         F.when(F.col("id") % 3 == 0, 60000.0).otherwise((F.col("id") * 7919 % 100003).cast("double")).alias("v"))
-    got = as_dict(pc.exact_percentiles(hot, ["k"], "v", POINTS), 1)
+    got = as_dict(pc.exact_percentiles(hot, ["k"], "v", POINTS, direct_limit=1000), 1)
     builtin = as_dict(hot.groupBy("k").agg(*[F.percentile("v", F.lit(p)).alias(n) for n, p in POINTS.items()]), 1)
     check(got, builtin)
 
@@ -68,14 +70,15 @@ def brute_trim(frame, spread, upper):
     return out
 
 
+@pytest.mark.parametrize("limit", LIMITS)
 @pytest.mark.parametrize("upper", [None, 400.0])
-def test_trimmed_equals_brute_force(spark, upper):
+def test_trimmed_equals_brute_force(spark, upper, limit):
     rng = np.random.default_rng(7)
     frame = pd.DataFrame({
         "y": rng.integers(2001, 2004, 900), "k": rng.choice(["a", "b", None], 900, p=[0.7, 0.2, 0.1]),
         "v": np.round(rng.lognormal(4, 1.2, 900), 1)})
     df = spark.createDataFrame([(int(y), k, float(v)) for y, k, v in frame.itertuples(index=False)], "y int, k string, v double")
-    got = pc.trimmed_percentiles(df, ["y", "k"], "v", POINTS, upper=upper)
+    got = pc.trimmed_percentiles(df, ["y", "k"], "v", POINTS, upper=upper, direct_limit=limit)
     check(as_dict(got), brute_trim(frame, 1.5, upper))
 
 
@@ -91,10 +94,17 @@ def test_approximate_form_is_close(spark):
     assert abs(row["m"] - 5000) <= 2
 
 
-def test_no_group_is_gathered_whole(spark):
-    """Rows are combined by value before any exchange, and no exchange carries rows by group alone
-    before the histogram has shrunk them."""
+def test_large_groups_are_not_gathered(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"))
-    plan = pc.exact_percentiles(df, ["k"], "v", POINTS)._jdf.queryExecution().executedPlan().toString()
-    assert "percentile" not in plan.lower().replace("percentiles", "")
-    assert "collect_list" not in plan
+
+    def plan(limit):
+        return pc.exact_percentiles(df, ["k"], "v", POINTS, direct_limit=limit)._jdf.queryExecution().executedPlan().toString()
+
+    assert "partial_percentile(" in plan(334)
+    assert "percentile(" not in plan(333) and "collect" not in plan(333)
+
+
+def test_counts_are_combined_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.lit(1.0).alias("v"))
+    plan = pc.value_counts(df, ["k"], "v")._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("partial_count") > plan.index("Exchange")  # below the exchange in the printed tree
