@@ -19,6 +19,7 @@ from cinderlake.functions.parsing import snap
 from cinderlake.session import cut_lineage
 
 EDGE_BYTES = 64
+CROWDED_BUCKET = 16
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 
@@ -128,24 +129,33 @@ def snap_to_weather_cell(df: DataFrame, step: float, lat: str = "lat", lon: str
     return df.withColumn("cell_lat", F.round(snap(lat, step), 6)).withColumn("cell_lon", F.round(snap(lon, step), 6))
 
 
+def _most_in_a_bucket(rows: DataFrame, size: float) -> int:
+    counts = rows.groupBy(_cell(F.col("sx"), size), _cell(F.col("sy"), size)).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n")).first()[0]
+
+
 def nearest_station(
     points: DataFrame, stations: DataFrame, *, key: str, bucket: float | None = None, x: str = "lon",
     y: str = "lat", station: str = "station",
 ) -> DataFrame:
     """`key, station, distance`: the nearest station of each point, planar, ties by station.
 
-    Points look at the stations of their own and the eight neighbouring buckets, about one station
-    each unless `bucket` says otherwise. A find within one bucket width is final. The points left over are tried again with buckets twice as wide, until
-    none is left, so the answer is exact for any layout of stations.
+    Points look at the stations of their own and the eight neighbouring buckets. A find within one
+    bucket width is final. The points left over are tried again with buckets four times as wide, until
+    none is left, so the answer is exact for any layout of stations. Unless `bucket` is given, the
+    first width is halved until no bucket is crowded, so a point meets few candidates.
     """
-    rows = stations.select(F.col(station).alias("station"), F.col(x).alias("sx"), F.col(y).alias("sy"))
+    rows = stations.groupBy(F.col(x).alias("sx"), F.col(y).alias("sy")).agg(F.min(station).alias("station"))
+    rows = cut_lineage(rows.filter("sx IS NOT NULL AND sy IS NOT NULL"))
     extent = rows.agg(F.min("sx"), F.max("sx"), F.min("sy"), F.max("sy"), F.count("sx")).first()
-    if bucket is None and extent[0] is not None:
-        wide, high = extent[1] - extent[0], extent[3] - extent[2]
-        bucket = math.sqrt(wide * high / extent[4]) or max(wide, high) or 1.0
     if extent[0] is None:
         return points.select(key).filter(F.lit(False)).selectExpr(
             key, "cast(null as string) station", "cast(null as double) distance")
+    if bucket is None:
+        wide, high = extent[1] - extent[0], extent[3] - extent[2]
+        bucket = math.sqrt(wide * high / extent[4]) or max(wide, high) or 1.0
+        while _most_in_a_bucket(rows, bucket) > CROWDED_BUCKET:
+            bucket /= 2
     span = points.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
     reach = max([abs(a - b) for a in span for b in extent[:4] if a is not None] + [bucket])
     waiting = points.select(F.col(key), F.col(x).alias("px"), F.col(y).alias("py")).filter("px IS NOT NULL AND py IS NOT NULL")
@@ -169,4 +179,4 @@ def nearest_station(
         waiting = tried.filter(~final).select(key, "px", "py")
         if size > 2 * reach or waiting.isEmpty():
             return done
-        size *= 2
+        size *= 4

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from cinderlake import schema
 from cinderlake.functions import parsing as p
 from cinderlake.operators import dimensions, spatial
+from cinderlake.operators.geography import join_by_statistical_code
 from cinderlake.operators.incremental import keep_before
 from cinderlake.operators.percentiles import exact_percentiles
 from cinderlake.session import staged
 
 FACT_COLUMNS = (
-    "original_id year id_rel_lau locality id_ref_fire_type ts rekindle slash_and_burn agricultural total_area "
+    "id original_id year id_rel_lau locality id_ref_fire_type ts rekindle slash_and_burn agricultural total_area "
     "brushwood_area agricultural_area inhabited_area cco_code cco_id alarm_ts id_ref_alarm_source id_ref_cause "
     "id_ref_cause_type extinguishing_ts first_response_ts temperature relative_humidity wind_speed wind_direction "
     "precipitation mean_height mean_slope file_urls lon lat created_ts updated_ts"
@@ -71,14 +72,15 @@ def fact_projection(typed: DataFrame, keep: tuple[str, ...] = (), now: Column |
 
 def conform(
     typed: DataFrame, parishes: DataFrame, dims: dict[str, DataFrame], *, start=None, cell: float = 0.1,
-    codes: dict[str, DataFrame] | None = None, now: Column | None = None, tie: str = "all",
+    codes: dict[str, DataFrame] | None = None, now: Column | None = None, tie: str = "all", use_ine: bool = False,
 ) -> Conformed:
     """Typed occurrences (from `start` on) to facts.
 
     New labels extend the four dimensions and known labels get their codes. Each occurrence takes
     the parish its point lies in; one on a shared border gives a row per parish. Occurrences
     without a type, id, year or time cannot be facts and are returned as `rejected`; those outside
-    all parishes are dropped. `parishes` holds `code, rings`.
+    all parishes are dropped, or with `use_ine` take the parish of their statistical code when there
+    is one. `parishes` holds `code, rings`.
     """
     codes = codes or {n: schema.code_table(typed.sparkSession, n) for n in schema.CODE_TABLES}
     if start is not None:
@@ -97,13 +99,26 @@ def conform(
         complete = complete & F.col(c).isNotNull()
     located = spatial.points_in_polygons(
         typed.filter(complete), parishes, x="LON", y="LAT", cell=cell, out="id_rel_lau", tie=tie, key="original_id")
+    if use_ine:
+        located = _with_ine_fallback(typed.filter(complete), located, parishes)
     for name, label in schema.DIMENSION_LABELS.items():
         located = dimensions.lookup_id(located, label, extended[name], f"id_ref_{name}")
     ids = tuple(f"id_ref_{n}" for n in schema.DIMENSION_LABELS)
-    fact = fact_projection(located, ("id_rel_lau", *ids), now).select(*FACT_COLUMNS)
+    # the natural key is the surrogate key: stable over reloads and unique without coordination
+    key = F.concat_ws("-", F.col("year").cast("string"), "original_id", "id_rel_lau")
+    fact = fact_projection(located, ("id_rel_lau", *ids), now).withColumn("id", key).select(*FACT_COLUMNS)
     return Conformed(fact, extended, typed.filter(~complete))
 
 
+def _with_ine_fallback(complete: DataFrame, located: DataFrame, parishes: DataFrame) -> DataFrame:
+    """`located` plus the occurrences no polygon covers whose statistical code names a parish."""
+    found = located.select(F.col("ANO").alias("_year"), F.col("original_id").alias("_id"))
+    missed = complete.join(found, (F.col("ANO") == F.col("_year")) & (F.col("original_id") == F.col("_id")), "left_anti")
+    units = parishes.select("code", F.lit(None).cast("string").alias("name"), F.lit(3).alias("level")).distinct()
+    by_code = join_by_statistical_code(missed, units).filter("ine_code IS NOT NULL")
+    return located.unionByName(by_code.withColumn("id_rel_lau", F.col("ine_code")).drop("ine_code", "ine_name"))
+
+
 def reload(fact: DataFrame, fresh: DataFrame, start) -> DataFrame:
     """The fact with everything from `start` on replaced by `fresh`; a full load replaces it all."""
     return fresh if start is None else keep_before(fact, "ts", start).unionByName(fresh)

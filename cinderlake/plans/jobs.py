@@ -66,7 +66,7 @@ def _table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 
 def build_fact(
     spark: SparkSession, source: str, parishes: DataFrame, warehouse: str, *, start: dt.date | None = None,
-    cell: float = 0.1, pattern: str = "*.csv",
+    cell: float = 0.1, pattern: str = "*.csv", use_ine: bool = False,
 ) -> None:
     """Load yearly files into `<warehouse>/fire`, growing the dimensions in `<warehouse>/ref`.
 
@@ -77,7 +77,7 @@ def build_fact(
     root = warehouse.rstrip("/")
     good, bad = typed_from_files(spark, source, start, pattern)
     dims = {n: _table(spark, f"{root}/ref/{n}", "id int, raw_name string, code string") for n in schema.CODE_TABLES}
-    done = conform.conform(staged(good, "typed"), parishes, dims, start=start, cell=cell)
+    done = conform.conform(staged(good, "typed"), parishes, dims, start=start, cell=cell, use_ine=use_ine)
     fresh = staged(done.fact, "fact")
     if start is not None:
         stored = _table(spark, f"{root}/fire", ", ".join(f"`{n}` {t}" for n, t in fresh.dtypes))

@@ -51,6 +51,26 @@ def test_fact_rows(conformed, rows):
     assert fact.filter("original_id = 'fine grid'").first().lat == pytest.approx(0.5)
 
 
+def test_keys_are_unique_and_layers_read_the_fact(conformed, spark, rows):
+    ids = [r[0] for r in rows(conformed.fact, "id")]
+    assert len(set(ids)) == 4 and "2001-border-010102" in ids
+    flat = flatten_geography(spark.createDataFrame([("010101", None, "p1", 1.0, 3)], LAU_DDL))
+    layer = layers.fire_layer(conformed.fact, flat, conformed.dimensions)
+    assert rows(layer.filter("original_id = 'inside'"), "lau3", "fire_type", "cause", "cause_type", "alarm_source") == [
+        ("p1", "FOREST", "UNDETERMINED", "UNKNOWN", "PV")]
+    assert layer.columns[:2] == ["id", "original_id"] and set(layers.LAYER_COLUMNS) <= set(layer.columns)
+
+
+def test_statistical_code_as_fallback(spark, rows):
+    data = [occurrence(id="covered", INE="20101"), occurrence(id="outside", LON="50", INE="10102.0"),
+            occurrence(id="unknown code", LON="50", INE="99"), occurrence(id="no point", LAT=None, INE="20101")]
+    typed = accepted(typed_occurrences(spark.createDataFrame(data, schema.occurrence_schema())))
+    parishes = spark.createDataFrame(PARISHES, f"code string, rings {RINGS}")
+    empty = spark.createDataFrame([], "id int, raw_name string, code string")
+    done = conform.conform(typed, parishes, {n: empty for n in schema.CODE_TABLES}, cell=0.5, use_ine=True)
+    assert rows(done.fact, "original_id", "id_rel_lau") == [("covered", "010101"), ("no point", "020101"), ("outside", "010102")]
+
+
 def test_incomplete_occurrences_are_handed_back(conformed, rows):
     assert rows(conformed.rejected, "original_id") == [("no type",)]  # 31 February is no date, so not in the window
 
@@ -68,6 +88,7 @@ def test_reload_never_doubles(conformed, spark):
     assert conform.reload(fact, fact.limit(0), dt.date(2001, 7, 3)).count() == 4
 
 
+LAU_DDL = "code string, code_parent string, name string, area double, level int"
 LAU = [
     ("01", None, "North", 100.0, 1), ("02", None, "South", 50.0, 1), ("0101", "01", "N-a", 60.0, 2), ("0102", "01", "N-b", 40.0, 2),
     ("0201", "02", "S-a", 50.0, 2), ("010101", "0101", "p1", 30.0, 3), ("010201", "0102", "p2", 40.0, 3),
@@ -77,7 +98,7 @@ LAU = [
 
 @pytest.fixture(scope="module")
 def lau(spark):
-    return spark.createDataFrame(LAU, "code string, code_parent string, name string, area double, level int")
+    return spark.createDataFrame(LAU, LAU_DDL)
 
 
 @pytest.fixture(scope="module")
