@@ -32,7 +32,8 @@ def point_layer(layer: DataFrame) -> DataFrame:
 def perimeter_layer(layer: DataFrame, parts: DataFrame) -> DataFrame:
     """One row per fire and perimeter part; fires without a usable perimeter are absent."""
     attributes = layer.drop("lon", "lat")
-    shapes = parts.select(F.col("fire_id"), "part", "rings", F.col("area").alias("part_area"))
+    # the size of nested rings is underestimated by the planner, so they are never broadcast
+    shapes = parts.select(F.col("fire_id"), "part", "rings", F.col("area").alias("part_area")).hint("merge")
     return attributes.join(shapes, F.col("id") == F.col("fire_id")).drop("fire_id")
 
 
