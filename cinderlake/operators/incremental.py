@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderlake.session import staged
+from cinderlake.sources.sinks import remove_years, stored_years, write_fact
 
 
 def pick_per_key(df: DataFrame, keys: list[str], order: list[str], last: bool = True) -> DataFrame:
@@ -118,13 +119,7 @@ def refresh_table(
     touched = stored.filter(F.col(year) >= start.year)
     merged = staged(refresh(touched, fresh, start, ts=ts, keys=keys, order=order).select(*fresh.columns), "refresh")
     merged = merged.filter(F.col(year) >= start.year)
-    old_years = {r[0] for r in touched.select(year).distinct().collect()}  # at most the years of the window
-    new_years = {r[0] for r in merged.select(year).distinct().collect()}
+    old_years, new_years = stored_years(touched, year), stored_years(merged, year)
     if new_years:
-        (
-            merged.repartitionByRange(year, ts).sortWithinPartitions(year, ts)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(year).parquet(path)
-        )
-    for gone in old_years - new_years:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{year}={gone}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        write_fact(merged, path, year, (ts,))
+    remove_years(spark, path, old_years - new_years, year)

@@ -16,7 +16,7 @@ from cinderlake.operators.weather import incident_spans, weather_detail, weather
 from cinderlake.plans import conform
 from cinderlake.session import staged
 from cinderlake.sources.occurrences import accepted, quarantined, read_pipe_csv, typed_occurrences
-from cinderlake.sources.sinks import write_fact, write_pipe_csv, write_weather
+from cinderlake.sources.sinks import remove_years, stored_years, write_fact, write_pipe_csv, write_weather
 
 # Days a daily, weekly and monthly refresh go back.
 REFRESH_DAYS = {"daily": 5, "weekly": 30, "monthly": 730}
@@ -79,10 +79,16 @@ def build_fact(
     dims = {n: _table(spark, f"{root}/ref/{n}", "id int, raw_name string, code string") for n in schema.CODE_TABLES}
     done = conform.conform(staged(good, "typed"), parishes, dims, start=start, cell=cell, use_ine=use_ine)
     fresh = staged(done.fact, "fact")
-    if start is not None:
+    if start is None:
+        write_fact(fresh, f"{root}/fire", replace_all=True)
+    else:
         stored = _table(spark, f"{root}/fire", ", ".join(f"`{n}` {t}" for n, t in fresh.dtypes))
-        fresh = staged(conform.reload(stored.filter(F.col("year") >= start.year), fresh, start).select(*fresh.columns), "merged")
-    write_fact(fresh, f"{root}/fire")
+        touched = stored.filter(F.col("year") >= start.year)
+        merged = staged(conform.reload(touched, fresh, start).select(*fresh.columns), "merged")
+        old_years, new_years = stored_years(touched), stored_years(merged)
+        if new_years:
+            write_fact(merged, f"{root}/fire")
+        remove_years(spark, f"{root}/fire", old_years - new_years)
     bad.write.mode("overwrite").parquet(f"{root}/quarantine")
     done.rejected.write.mode("overwrite").parquet(f"{root}/rejected")
     for name, frame in done.dimensions.items():  # staged, so not read from what is overwritten

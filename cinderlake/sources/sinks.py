@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def _refuse_input_path(df: DataFrame, path: str) -> None:
@@ -33,19 +35,34 @@ def write_yearly_csv(df: DataFrame, path: str, year: str = "ANO", key: str = "id
     )
 
 
-def write_fact(df: DataFrame, path: str, year: str = "year", order: tuple[str, ...] = ("ts",)) -> None:
-    """Year-partitioned parquet; only the years present in `df` are replaced.
+def write_fact(
+    df: DataFrame, path: str, year: str = "year", order: tuple[str, ...] = ("ts",), replace_all: bool = False
+) -> None:
+    """Year-partitioned parquet; only the years present in `df` are replaced, or with `replace_all`
+    the whole table.
 
     Ranging on year and time keeps files of one heavy year balanced and gives each file a narrow
     time span, so the scan can skip files by their statistics.
     """
     (
         df.repartitionByRange(year, *order).sortWithinPartitions(year, *order)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static" if replace_all else "dynamic")
         .partitionBy(year).parquet(path)
     )
 
 
+def stored_years(df: DataFrame, year: str = "year") -> set[int]:
+    """Years present in a fact; a few dozen at most."""
+    return {r[0] for r in df.select(year).distinct().collect()}
+
+
+def remove_years(spark: SparkSession, path: str, years: Iterable[int], year: str = "year") -> None:
+    """Drop the folders of years that have become empty, which an overwrite by partition leaves."""
+    for gone in years:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{year}={gone}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_weather(detail: DataFrame, summary: DataFrame, path: str, header: bool = True) -> None:
     """Weather detail and summary as comma-separated files; empty frames keep their header."""
     for name, frame in (("meteorology", detail), ("summary", summary)):

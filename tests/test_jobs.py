@@ -70,6 +70,15 @@ def test_build_and_refresh(spark, tmp_path, rows):
     jobs.refresh_fact(spark, str(source), parishes, store, dt.date(2002, 8, 1), "weekly", cell=0.5)
     assert spark.read.parquet(f"{store}/fire").count() == 3
 
+    # the source no longer has 2002: a window over that year empties it, a full load drops it too
+    (source / "2002.csv").unlink()
+    jobs.build_fact(spark, str(source), parishes, store, start=dt.date(2002, 1, 1), cell=0.5)
+    assert rows(spark.read.parquet(f"{store}/fire"), "original_id", "year") == [("a", 2001)]
+    write_year(source, 2003, dict(id="h"))
+    (source / "2001.csv").unlink()
+    jobs.build_fact(spark, str(source), parishes, store, cell=0.5)
+    assert rows(spark.read.parquet(f"{store}/fire"), "original_id", "year") == [("h", 2003)]
+
 
 def test_find_files(spark, sample_folder, rows):
     assert [r.source_file for r in find_files(spark, str(sample_folder), "*.csv").collect()] == ["2001.csv", "2002.csv"]
