@@ -39,9 +39,7 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = os.path.join(tempfile.gettempdir(), "cinderlake-checkpoints")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return os.path.join(tempfile.gettempdir(), "cinderlake-checkpoints")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
