@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cinderlake.llm import exact_dedup, line_dedup, token_counts
+from cinderlake.llm import bpe, exact_dedup, line_dedup, token_counts
 
-MODULES = (token_counts, line_dedup, exact_dedup)
+MODULES = (token_counts, line_dedup, bpe, exact_dedup)
 
 
 def corpus_queries() -> dict:
