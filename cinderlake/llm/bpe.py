@@ -22,12 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlake.llm.tables import table, table_rows
+from cinderlake.llm.tables import Memo, table, table_rows
 
 LEAF = 128
-# A worker's memo is emptied beyond this number of stretches.
-MEMO = 150_000
-LONGEST_KEY = 256
 
 
 def byte_alphabet() -> list[str]:
@@ -97,7 +94,7 @@ class WordEncoder:
         # The split pattern of the file, for printable ASCII; other texts are split by the library.
         self.ascii_words = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ a-z0-9]+")
         self.plain = re.compile("[!-~]*")
-        self.memo: dict[str, tuple[int, str, str]] = {}
+        self.memo = Memo(self._seen, 200_000)
 
     def _short(self, part: str, at_end: bool) -> list[int]:
         return [t.id for t in (self.ending if at_end else self.inner).tokenize(part)]
@@ -128,19 +125,14 @@ class WordEncoder:
 
     def _seen(self, stretch: str) -> tuple[int, str, str]:
         ids = self.stretch_ids(stretch)
-        found = (len(ids), " ".join(map(str, ids)), self.decode(ids))
-        if len(stretch) <= LONGEST_KEY:
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            self.memo[stretch] = found
-        return found
+        return len(ids), " ".join(map(str, ids)), self.decode(ids)
 
     def round_trip(self, text: str) -> tuple[int, str, str]:
         """(number of ids, ids as decimals joined by a space, decoded text) of a whole text."""
         memo, n, ids, words = self.memo, 0, [], []
         for stretch in text.replace("\n", " ").split(" "):
             if stretch:
-                k, a, b = memo.get(stretch) or self._seen(stretch)
+                k, a, b = memo[stretch]
                 if k:
                     n += k
                     ids.append(a)

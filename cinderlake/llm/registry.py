@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cinderlake.llm import bpe, exact_dedup, line_dedup, token_counts
+from cinderlake.llm import bpe, exact_dedup, line_dedup, packing, token_counts
 
-MODULES = (token_counts, line_dedup, bpe, exact_dedup)
+MODULES = (token_counts, line_dedup, bpe, exact_dedup, packing)
 
 
 def corpus_queries() -> dict:

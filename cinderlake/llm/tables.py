@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,3 +37,23 @@ def table_rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tup
     """Rows of Arrow batches as tuples of the named columns; one batch is held at a time."""
     for batch in batches:
         yield from zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns), strict=True)
+
+
+class Memo(dict):
+    """A worker's memory of `compute(key)`: what was asked for lately, at most 2 * `size` keys, none longer than `longest`."""
+
+    def __init__(self, compute: Callable, size: int = 300_000, longest: int = 200):
+        super().__init__()
+        self.compute, self.size, self.longest, self.before = compute, size, longest, {}
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.compute(key)
+            if len(key) > self.longest:
+                return value
+        if len(self) >= self.size:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value

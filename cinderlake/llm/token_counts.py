@@ -24,12 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinderlake.llm.tables import table, table_rows
+from cinderlake.llm.tables import Memo, table, table_rows
 
 SPACE = "▁"
-# A worker forgets what it has compiled beyond these numbers and compiles again what is needed.
+# A worker forgets what it has compiled beyond this number and compiles again what is needed.
 MAX_STATES = 150_000
-MAX_STRETCHES = 300_000
 CHUNK = 1 << 16
 
 
@@ -54,22 +53,6 @@ class _Irregular(Exception):
     """A stretch that does not begin with exactly one space."""
 
 
-class _Stretches(dict):
-    """Stretch behind a single space -> its tokens."""
-
-    def __init__(self, machine: Transducer):
-        super().__init__()
-        self.machine = machine
-
-    def __missing__(self, word: str) -> int:
-        if not word or SPACE in word:
-            raise _Irregular
-        if len(self) >= MAX_STRETCHES:
-            self.clear()
-        count = self[word] = self.machine.run(SPACE + word)
-        return count
-
-
 class Transducer:
     """The compiled counter of one sentencepiece BPE model with byte fallback."""
 
@@ -90,9 +73,15 @@ class Transducer:
         self.score = normal
         self.prefixes = {p[:k] for p in normal for k in range(1, len(p))}
         self.side_by_side = {p[k:k + 2] for p in normal for k in range(len(p) - 1)}
-        self.stretches = _Stretches(self)
+        self.stretches = Memo(self._stretch)
         self._forget()
 
+    def _stretch(self, word: str) -> int:
+        """Tokens of a stretch behind a single space."""
+        if not word or SPACE in word:
+            raise _Irregular
+        return self.run(SPACE + word)
+
     def _forget(self) -> None:
         self.states: dict[tuple, _State] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
