@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from cinderlake.llm import bpe, exact_dedup, line_dedup, packing, token_counts
+from cinderlake.llm import bpe, exact_dedup, license_scan, line_dedup, packing, secret_scan, token_counts
 
-MODULES = (token_counts, line_dedup, bpe, exact_dedup, packing)
+MODULES = (token_counts, license_scan, line_dedup, bpe, exact_dedup, packing, secret_scan)
 
 
 def corpus_queries() -> dict:
