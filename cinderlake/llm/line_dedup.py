@@ -105,7 +105,8 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5,
     for low, high in reversed(list(zip(edges, edges[1:], strict=False))):
         inside = [F.col("doc_id") > low] * (low is not None) + [F.col("doc_id") <= high] * (high is not None)
         runs.add(hashed.where(reduce(Column.__and__, inside, F.lit(True))))
-    lost = (hashed.join(runs.frequent(min_docs), KEY).where(F.col("doc_id") < F.col("owner"))
+    frequent = staged(runs.frequent(min_docs), "frequent-lines")
+    lost = (hashed.join(frequent, KEY).where(F.col("doc_id") < F.col("owner"))
             .groupBy("doc_id").agg(F.collect_list(F.struct(*KEY)).alias("_lost_hashes")))
     kept = F.filter(lines, lambda line: ~((F.length(line_key(line)) >= min_chars) & F.array_contains("_lost_hashes", key_hash(line_key(line)))))
     kept = F.when(F.col("_lost_hashes").isNull(), lines).otherwise(kept)
