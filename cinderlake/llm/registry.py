@@ -2,11 +2,25 @@
 
 from __future__ import annotations
 
-from cinderlake.llm import bpe, exact_dedup, license_scan, line_dedup, packing, secret_scan, token_counts
+from collections.abc import Callable
 
-MODULES = (token_counts, license_scan, line_dedup, bpe, exact_dedup, packing, secret_scan)
+from pyspark.sql import DataFrame, SparkSession
+
+from cinderlake.llm import bpe, exact_dedup, license_scan, line_dedup, packing, secret_scan, token_counts, toxicity
+from cinderlake.llm.shipping import ship
+
+MODULES = (token_counts, license_scan, toxicity, line_dedup, bpe, exact_dedup, packing, secret_scan)
+
+
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, with this package on the workers."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
 
 
 def corpus_queries() -> dict:
     """Query name -> (function of (spark, sf_dir), check SQL or None)."""
-    return {name: query for module in MODULES for name, query in module.QUERIES.items()}
+    return {name: (shipped(query), sql) for module in MODULES for name, (query, sql) in module.QUERIES.items()}
