@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinderlake.llm import bpe, exact_dedup, license_scan, line_dedup, packing, secret_scan, token_counts, toxicity
+from cinderlake.llm import bpe, exact_dedup, license_scan, line_dedup, minmax_dedup, packing, secret_scan, token_counts, toxicity
 from cinderlake.llm.shipping import ship
 
-MODULES = (token_counts, license_scan, toxicity, line_dedup, bpe, exact_dedup, packing, secret_scan)
+MODULES = (token_counts, minmax_dedup, license_scan, toxicity, line_dedup, bpe, exact_dedup, packing, secret_scan)
 
 
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
