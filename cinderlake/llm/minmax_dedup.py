@@ -171,7 +171,7 @@ def unresolved_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Pairs of members (band, key, m, rep, n, comp, sketch) of one bucket and different components whose signatures agree closely."""
     least = int((percent / 100 - MARGIN) * 2 * PERMUTATIONS)
 
-    def compare(key, group: pa.Table) -> pa.Table:
+    def compare(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         left, right = [], []
         rep, comp, n, side = (group.column(c).to_numpy() for c in ("rep", "comp", "n", "side"))
         sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(rep), -1)
@@ -255,8 +255,8 @@ s AS (
     ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS shingle
   FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
-l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * both >= 85 * (na.n + nb.n - both)),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * common >= 85 * (na.n + nb.n - common)),
 r AS (SELECT doc_id AS id, doc_id AS other FROM documents UNION SELECT r.id, l.b FROM r JOIN l ON r.other = l.a)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT id, min(other) AS component_id FROM r GROUP BY id) c ON c.id = d.doc_id

@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cinderlake.llm import bpe, exact_dedup, license_scan, line_dedup, minmax_dedup, packing, secret_scan, token_counts, toxicity
+import corpus_pipeline
+from cinderlake.llm import bpe, exact_dedup, license_scan, line_dedup, metric_join, minmax_dedup, packing, secret_scan, token_counts, toxicity
 from cinderlake.llm.shipping import ship
 
-MODULES = (token_counts, minmax_dedup, license_scan, toxicity, line_dedup, bpe, exact_dedup, packing, secret_scan)
+MODULES = (token_counts, metric_join, minmax_dedup, license_scan, toxicity, line_dedup, bpe, exact_dedup, packing, secret_scan)
 
 
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -23,4 +24,5 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 def corpus_queries() -> dict:
     """Query name -> (function of (spark, sf_dir), check SQL or None)."""
-    return {name: (shipped(query), sql) for module in MODULES for name, (query, sql) in module.QUERIES.items()}
+    out = {name: (shipped(query), sql) for module in MODULES for name, (query, sql) in module.QUERIES.items()}
+    return out | {"pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL)}

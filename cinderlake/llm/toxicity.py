@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinderlake.llm.tables import Memo, table, table_rows
 from cinderlake.session import staged
@@ -289,16 +290,13 @@ def labelled_windows(sample: DataFrame, number: dict[str, int]) -> DataFrame:
     return windows.withColumn("at", F.xxhash64(F.lit(6), "doc_id", "start"))
 
 
-SCORED = "score double, toxic_spans array<struct<start:long,end:long,p:double>>"
-
-
-def add_scores(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
-    """`docs` with score and toxic_spans (columns of these names are replaced).
+def add_scores(docs: DataFrame, chain: Chain, text_col: str = "text", score_col: str = "score", spans_col: str = "toxic_spans") -> DataFrame:
+    """`docs` with a score and the toxic spans (columns of these two names are replaced).
 
     Spans are code points, end exclusive, of the words whose marginal is 0.5 or more. A null text
     counts as empty and gets the score of a text without toxic words. Texts are read whole.
     """
-    docs = docs.drop("score", "toxic_spans")
+    docs = docs.drop(score_col, spans_col)
     names = docs.columns
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,10 +310,11 @@ def add_scores(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFra
                 bad = {i: p for i, p in found if p >= 0.5}
                 spans.append([{"start": m.start(), "end": m.end(), "p": bad[i]} for i, m in enumerate(WORD.finditer(text)) if i in bad] if bad else [])
             span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array(spans, pa.list_(span))], [*names, "score", "toxic_spans"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array(spans, pa.list_(span))], [*names, score_col, spans_col])
 
-    kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(score, f"{kept}, {SCORED}")
+    span = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("p", T.DoubleType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType()), T.StructField(spans_col, T.ArrayType(span))])
+    return docs.mapInArrow(score, schema)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
