@@ -1,38 +1,36 @@
-"""Exact interpolated percentiles that never gather an unbounded group in one task.
-
-Spark's built-in exact percentile keeps a map of every distinct value of a group in one task. A
-dashboard group (a year of one district) can hold a large part of all rows, so the work is split:
-
-1. rows collapse to `(keys, bucket, value) -> n`, combined on the map side, where `bucket` is a
-   monotone function of the value (about a thousand buckets per factor e); the counts are staged
-   in the shared folder, as everything after reads them several times;
-2. the number of distinct values of the largest group is measured. Up to `DIRECT_LIMIT` the
-   built-in percentile runs over the counts, its map being bounded by that number;
-3. beyond it, a histogram per `(keys, bucket)` with a running total, a few ten thousand rows per
-   group at most, tells which buckets hold the wanted ranks, and only those buckets are ranked,
-   each on its own.
-
-A repeated value is one row after step 1, and a hot group is spread over its buckets, so neither
-produces a hot task. Both ways equal PERCENTILE_CONT.
+"""Exact interpolated percentiles, by one path for groups of every size.
+
+Spark's built-in exact percentile keeps a map of every distinct value of a group in one task. Here a
+group costs little more than its number of wanted points, however large it is and however its values
+are spread:
+
+1. a mergeable sketch per group (`percentile_approx`, whose rank error is bounded) brackets each
+   wanted rank by two values of the group, with exact count, minimum, maximum and sum beside it;
+2. one aggregate turns the rows into a profile: rows outside all brackets are counted by where they
+   lie, rows inside by value. It is combined on the map side, so what is shuffled is the few values of
+   the brackets and a handful of counts from each task;
+3. running totals over the profile of a group give the rank of each of its values, and so the values
+   at the two ranks that are interpolated.
+
+A bracket holds at most about 12 in `ACCURACY` of a large group's rows and repeated values are one row of the
+profile, so neither a hot group nor a narrow range of values makes a hot task. The result is
+`low + (high - low) * fraction` of two values of the data, the same however the rows are partitioned.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinderlake.session import staged
 
-BUCKETS_PER_FACTOR_E = 1024
-DIRECT_LIMIT = 200_000  # distinct values of a group that one task may hold, some 20 MB
-
-
-def monotone_bucket(value: Column) -> Column:
-    """A whole number that never decreases as `value` grows."""
-    size = F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_FACTOR_E)
-    return F.when(value < 0, -size).otherwise(size).cast("int")
+ACCURACY = 10_000
+# Half the width of a bracket, in ranks over the group's size: the sketch's error with some room, and
+# wider ones for small groups, whose bracket has to reach the next ranks.
+MARGIN = 4 / ACCURACY
+MARGINS = (MARGIN, 0.002, 0.01, 0.05, 0.25, 1.0)
 
 
 def _listed(keys: list[str], alias: str | None = None) -> str:
@@ -45,99 +43,64 @@ def _same(keys: list[str], left: str, right: str) -> str:
     return " AND ".join(f"{left}.`{key}` <=> {right}.`{key}`" for key in keys)
 
 
-def value_counts(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """`keys, bucket, value, n`; NULL and NaN values are left out."""
-    v = F.col(value).cast("double")
-    return (
-        df.select(*keys, v.alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-        .withColumn("bucket", monotone_bucket(F.col("value")))
-        .groupBy(*keys, "bucket", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-
+def measured(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """`keys, value` as double; NULL and NaN values are left out."""
+    rows = df.select(*keys, F.col(value).cast("double").alias("value"))
+    return rows.filter(F.col("value").isNotNull() & ~F.isnan("value"))
 
-def largest_group(counts: DataFrame, keys: list[str]) -> int:
-    """Number of distinct values of the group that has most."""
-    sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("values"))
-    return sizes.agg(F.max("values")).first()[0] or 0
 
-
-def _direct_percentiles(
-    counts: DataFrame, keys: list[str], points: dict[str, float], low: str | None, high: str | None, total: str | None
-) -> DataFrame:
-    """Built-in percentiles over counts whose groups have been measured to be small."""
-    wanted = F.percentile("value", F.array(*[F.lit(float(p)) for p in points.values()]), F.col("n"))
-    found = counts.groupBy(*keys).agg(
-        wanted.alias("_p"), F.min("value").alias("_lo"), F.max("value").alias("_hi"),
-        F.sum(F.col("value") * F.col("n")).alias("_s"))
-    extra = [F.col(c).alias(n) for c, n in (("_lo", low), ("_hi", high), ("_s", total)) if n]
-    return found.select(*keys, *[F.get("_p", F.lit(i)).alias(n) for i, n in enumerate(points)], *extra)
-
-
-def percentiles_of_counts(
-    counts: DataFrame, keys: list[str], points: dict[str, float], *, low: str | None = None,
-    high: str | None = None, total: str | None = None, direct: bool = False,
+def exact_percentiles(
+    df: DataFrame, keys: list[str], value: str, points: dict[str, float], *, low: str | None = None,
+    high: str | None = None, total: str | None = None,
 ) -> DataFrame:
-    """Percentiles per group of a `value_counts` frame, with optional minimum, maximum and sum.
-
-    `direct` says that no group has more than `DIRECT_LIMIT` values.
-
-    `before` is the number of rows of the group in lower buckets, `first` the rank of a value's
-    first row; a value holds the ranks `first` to `first + n - 1`.
-    """
-    if direct:
-        return _direct_percentiles(counts, keys, points, low, high, total)
-    k = _listed(keys)
+    """Interpolated percentiles of `value` per group; `points` maps output names to fractions."""
+    rows, k, spark = measured(df, keys, value), _listed(keys), df.sparkSession
+    edges = ", ".join(f"{max(0.0, p - m)}D, {min(1.0, p + m)}D" for p in points.values() for m in MARGINS)
+    fitting = "CASE " + " ".join(f"WHEN {m}D * size >= 3 THEN {j}" for j, m in enumerate(MARGINS[:-1])) + f" ELSE {len(MARGINS) - 1} END"
+    spans = list(enumerate(points.values()))
 
     def rank(p: float, rounding: str) -> str:
         return f"{rounding}({float(p)}D * (size - 1))"
 
-    def holds(p: float, rounding: str, start: str) -> str:
-        return f"({rank(p, rounding)} >= {start} AND {rank(p, rounding)} < {start} + n)"
-
-    wanted = " OR ".join(holds(p, r, "before") for p in points.values() for r in ("floor", "ceil"))
+    # Where a value lies: below the bracket of each point (0), inside (1) or above it (2).
+    place = ", ".join(
+        f"CASE WHEN value < at[{2 * i * len(MARGINS)} + 2 * width] THEN 0 WHEN value <= at[{2 * i * len(MARGINS) + 1} + 2 * width] THEN 1 ELSE 2 END"
+        for i, _ in spans)
+    inside = " OR ".join(f"place[{i}] = 1" for i, _ in spans)
+    starts = ", ".join(
+        f"sum(CASE WHEN place[{i}] < 1 THEN n ELSE 0 END) OVER (PARTITION BY {k})"
+        f" + sum(CASE WHEN place[{i}] = 1 THEN n ELSE 0 END) OVER (PARTITION BY {k} ORDER BY inner ROWS UNBOUNDED PRECEDING) - n AS first{i}"
+        for i, _ in spans)
     ends = ", ".join(
-        f"max(CASE WHEN {holds(p, r, 'first')} THEN value END) AS `{name}_{r}`"
-        for name, p in points.items() for r in ("floor", "ceil"))
+        f"max(CASE WHEN place[{i}] = 1 AND {rank(p, r)} >= first{i} AND {rank(p, r)} < first{i} + n THEN inner END) AS {r}{i}"
+        for i, p in spans for r in ("floor", "ceil"))
     blended = ", ".join(
-        f"`{name}_floor` + (`{name}_ceil` - `{name}_floor`) * ({float(p)}D * (size - 1) - {rank(p, 'floor')}) AS `{name}`"
-        for name, p in points.items())
+        f"CASE WHEN floor{i} = ceil{i} THEN floor{i} ELSE floor{i} + (ceil{i} - floor{i}) * ({float(p)}D * (size - 1) - {rank(p, 'floor')}) END AS `{name}`"
+        for (i, p), name in zip(spans, points, strict=True))
     extra = "".join(f", {c} AS `{n}`" for c, n in (("lo", low), ("hi", high), ("s", total)) if n)
-    return counts.sparkSession.sql(f"""
-        WITH histogram AS (
-          SELECT {k}, bucket, sum(n) AS n, min(value) AS lo, max(value) AS hi, sum(value * n) AS s
-          FROM {{counts}} GROUP BY {k}, bucket
+    return spark.sql(f"""
+        WITH sketches AS (
+          SELECT {k}, percentile_approx(value, array({edges}), {ACCURACY}) AS at, count(*) AS size,
+                 min(value) AS lo, max(value) AS hi, sum(value) AS s
+          FROM {{rows}} GROUP BY {k}
         ),
-        ranked AS (
-          SELECT {k}, bucket, n, sum(n) OVER (PARTITION BY {k} ORDER BY bucket ROWS UNBOUNDED PRECEDING) - n AS before,
-                 sum(n) OVER (PARTITION BY {k}) AS size, min(lo) OVER (PARTITION BY {k}) AS lo,
-                 max(hi) OVER (PARTITION BY {k}) AS hi, sum(s) OVER (PARTITION BY {k}) AS s
-          FROM histogram
+        brackets AS (SELECT *, {fitting} AS width FROM sketches),
+        placed AS (
+          SELECT {_listed(keys, "r")}, b.size, b.lo, b.hi, b.s, r.value, array({place}) AS place
+          FROM {{rows}} r JOIN brackets b ON {_same(keys, "r", "b")}
         ),
-        targets AS (SELECT {k}, bucket, before, size, lo, hi, s FROM ranked WHERE {wanted}),
-        picked AS (
-          SELECT {_listed(keys, "c")}, c.value, c.n, t.size, t.lo, t.hi, t.s,
-                 t.before + sum(c.n) OVER (
-                   PARTITION BY {_listed(keys, "c")}, c.bucket ORDER BY c.value ROWS UNBOUNDED PRECEDING) - c.n AS first
-          FROM {{counts}} c JOIN targets t ON {_same(keys, "c", "t")} AND c.bucket = t.bucket
+        profile AS (
+          SELECT {k}, place, CASE WHEN {inside} THEN value END AS inner, count(*) AS n,
+                 max(size) AS size, max(lo) AS lo, max(hi) AS hi, max(s) AS s
+          FROM placed GROUP BY {k}, place, CASE WHEN {inside} THEN value END
         ),
-        found AS (
-          SELECT {k}, {ends}, max(size) AS size, min(lo) AS lo, max(hi) AS hi, max(s) AS s FROM picked GROUP BY {k}
-        )
-        SELECT {k}, {blended}{extra} FROM found""", counts=counts)
-
-
-def exact_percentiles(
-    df: DataFrame, keys: list[str], value: str, points: dict[str, float], *, low: str | None = None,
-    high: str | None = None, total: str | None = None, direct_limit: int = DIRECT_LIMIT,
-) -> DataFrame:
-    """Interpolated percentiles of `value` per group; `points` maps output names to fractions."""
-    counts = staged(value_counts(df, keys, value), "value-counts")
-    return percentiles_of_counts(counts, keys, points, low=low, high=high, total=total,
-                                 direct=largest_group(counts, keys) <= direct_limit)
+        ranked AS (SELECT *, {starts} FROM profile),
+        found AS (SELECT {k}, {ends}, max(size) AS size, max(lo) AS lo, max(hi) AS hi, max(s) AS s FROM ranked GROUP BY {k})
+        SELECT {k}, {blended}{extra} FROM found""", rows=rows)
 
 
 def approximate_percentiles(
-    df: DataFrame, keys: list[str], value: str, points: dict[str, float], accuracy: int = 10000
+    df: DataFrame, keys: list[str], value: str, points: dict[str, float], accuracy: int = ACCURACY
 ) -> DataFrame:
     """Opt-in single-pass form; the rank error is at most one part in `accuracy`."""
     out = df.groupBy(*keys).agg(
@@ -147,8 +110,7 @@ def approximate_percentiles(
 
 def trimmed_percentiles(
     df: DataFrame, keys: list[str], value: str, points: dict[str, float], *,
-    spread: float | None = 1.5, upper: float | None = None,
-    low: str = "min", high: str = "max", direct_limit: int = DIRECT_LIMIT,
+    spread: float | None = 1.5, upper: float | None = None, low: str = "min", high: str = "max",
 ) -> DataFrame:
     """Percentiles after outliers are cut per group, computed again on what is left.
 
@@ -157,24 +119,12 @@ def trimmed_percentiles(
     part when values are cut, as their limits are looked up by key.
     """
     if spread is None:
-        return exact_percentiles(df, keys, value, points, low=low, high=high, direct_limit=direct_limit)
+        return exact_percentiles(df, keys, value, points, low=low, high=high)
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    counts = staged(value_counts(df, keys, value).filter(known), "value-counts")
-    direct = largest_group(counts, keys) <= direct_limit
-    quarts = percentiles_of_counts(counts, keys, {"q1": 0.25, "q3": 0.75}, direct=direct)
+    # Read four times below; two or three narrow columns are cheaper than four times the joins above.
+    rows = staged(measured(df, keys, value).filter(known), "measured")
+    quarts = exact_percentiles(rows, keys, "value", {"q1": 0.25, "q3": 0.75})
     margin = f"{float(spread)}D * (q3 - q1)"
     ceiling = f"{float(upper)}D" if upper is not None else f"q3 + {margin}"
-    if direct:
-        kept = counts.join(quarts, keys).filter(f"value BETWEEN q1 - {margin} AND {ceiling}")
-        return percentiles_of_counts(kept, keys, points, low=low, high=high, direct=True)
-    # limits reach the counts through the buckets, so that a hot group stays spread out
-    kept = counts.sparkSession.sql(f"""
-        WITH spans AS (SELECT DISTINCT {_listed(keys)}, bucket FROM {{counts}}),
-        reach AS (
-          SELECT {_listed(keys, "s")}, s.bucket, q1 - {margin} AS low, {ceiling} AS high
-          FROM spans s JOIN {{quarts}} q ON {_same(keys, "s", "q")}
-        )
-        SELECT {_listed(keys, "c")}, c.bucket, c.value, c.n
-        FROM {{counts}} c JOIN reach r ON {_same(keys, "c", "r")} AND c.bucket = r.bucket
-        WHERE c.value BETWEEN r.low AND r.high""", counts=counts, quarts=quarts)
-    return percentiles_of_counts(kept, keys, points, low=low, high=high)
+    kept = rows.join(staged(quarts, "quartiles"), keys).filter(f"value BETWEEN q1 - {margin} AND {ceiling}")
+    return exact_percentiles(kept.select(*keys, "value"), keys, "value", points, low=low, high=high)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from cinderlake.operators import percentiles as pc
 
 POINTS = {"p25": 0.25, "median": 0.5, "p75": 0.75}
-LIMITS = [0, pc.DIRECT_LIMIT]  # through the histogram, and directly
 
 
 def expected(frame, keys):
@@ -37,23 +36,15 @@ def test_equals_numpy(spark, data):
     frame = pd.DataFrame(data, columns=["y", "k", "v"]).astype({"v": float})
     df = spark.createDataFrame(data, "y int, k string, v double")
     want = expected(frame, ["y", "k"])
-    for limit in LIMITS:
-        got = pc.exact_percentiles(df, ["y", "k"], "v", POINTS, low="lo_", high="hi_", total="sum_", direct_limit=limit)
-        check(as_dict(got), want)
-
-
-def test_bucket_never_decreases(spark):
-    values = sorted([*np.random.default_rng(1).lognormal(5, 4, 4000), *(-np.random.default_rng(2).lognormal(1, 3, 4000)), 0.0, 0.5])
-    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(values)], "i int, v double")
-    buckets = [r[0] for r in df.orderBy("i").select(pc.monotone_bucket(F.col("v"))).collect()]
-    assert buckets == sorted(buckets)
+    got = pc.exact_percentiles(df, ["y", "k"], "v", POINTS, low="lo_", high="hi_", total="sum_")
+    check(as_dict(got), want)
 
 
 def test_hot_group_and_repeated_value(spark):
     hot = spark.range(60000).select(
         F.when(F.col("id") < 40000, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 9).cast("string"))).alias("k"),
         F.when(F.col("id") % 3 == 0, 60000.0).otherwise((F.col("id") * 7919 % 100003).cast("double")).alias("v"))
-    got = as_dict(pc.exact_percentiles(hot, ["k"], "v", POINTS, direct_limit=1000), 1)
+    got = as_dict(pc.exact_percentiles(hot, ["k"], "v", POINTS), 1)
     builtin = as_dict(hot.groupBy("k").agg(*[F.percentile("v", F.lit(p)).alias(n) for n, p in POINTS.items()]), 1)
     check(got, builtin)
 
@@ -70,15 +61,14 @@ def brute_trim(frame, spread, upper):
     return out
 
 
-@pytest.mark.parametrize("limit", LIMITS)
 @pytest.mark.parametrize("upper", [None, 400.0])
-def test_trimmed_equals_brute_force(spark, upper, limit):
+def test_trimmed_equals_brute_force(spark, upper):
     rng = np.random.default_rng(7)
     frame = pd.DataFrame({
         "y": rng.integers(2001, 2004, 900), "k": rng.choice(["a", "b", None], 900, p=[0.7, 0.2, 0.1]),
         "v": np.round(rng.lognormal(4, 1.2, 900), 1)})
     df = spark.createDataFrame([(int(y), k, float(v)) for y, k, v in frame.itertuples(index=False)], "y int, k string, v double")
-    got = pc.trimmed_percentiles(df, ["y", "k"], "v", POINTS, upper=upper, direct_limit=limit)
+    got = pc.trimmed_percentiles(df, ["y", "k"], "v", POINTS, upper=upper)
     check(as_dict(got), brute_trim(frame, 1.5, upper))
 
 
@@ -94,17 +84,46 @@ def test_approximate_form_is_close(spark):
     assert abs(row["m"] - 5000) <= 2
 
 
-def test_large_groups_are_not_gathered(spark):
-    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").cast("double").alias("v"))
-
-    def plan(limit):
-        return pc.exact_percentiles(df, ["k"], "v", POINTS, direct_limit=limit)._jdf.queryExecution().executedPlan().toString()
-
-    assert "partial_percentile(" in plan(334)
-    assert "percentile(" not in plan(333) and "collect" not in plan(333)
-
-
-def test_counts_are_combined_before_the_shuffle(spark):
-    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.lit(1.0).alias("v"))
-    plan = pc.value_counts(df, ["k"], "v")._jdf.queryExecution().executedPlan().toString()
-    assert plan.index("partial_count") > plan.index("Exchange")  # below the exchange in the printed tree
+def test_narrow_values_are_not_ranked_together(spark):
+    df = spark.range(200_000).select(F.lit("a").alias("k"), (F.col("id") * 7919 % 200_000 * 1e-9).alias("v")).repartition(7)
+    got = pc.exact_percentiles(df, ["k"], "v", POINTS)
+    assert tuple(got.first())[1:] == pytest.approx(tuple(np.percentile(np.arange(200_000) * 1e-9, [25, 50, 75])), rel=1e-12)
+    plan = got._jdf.queryExecution()
+    got.collect()
+    # The rows that are ranked: the profile's groups.
+    profile = pc.exact_percentiles(df, ["k"], "v", POINTS)
+    assert "partial_percentile(" not in plan.executedPlan().toString() and "collect_" not in plan.executedPlan().toString()
+    low, high = df.selectExpr(f"percentile_approx(v, array({0.25 - pc.MARGIN}D, {0.25 + pc.MARGIN}D), {pc.ACCURACY}) AS a").first()["a"]
+    assert df.filter((F.col("v") >= low) & (F.col("v") <= high)).count() <= 12 * 200_000 / pc.ACCURACY
+    assert profile.count() == 1
+
+
+def test_same_doubles_however_partitioned(spark):
+    rng = np.random.default_rng(3)
+    rows = [(int(k), float(v)) for k, v in zip(rng.integers(0, 3, 30_000), np.round(rng.lognormal(4, 2, 30_000), 3), strict=True)]
+    df = spark.createDataFrame(rows, "k int, v double")
+    results = {tuple(sorted(map(tuple, pc.exact_percentiles(df.repartition(n), ["k"], "v", POINTS).collect()))) for n in (1, 3, 11)}
+    assert len(results) == 1
+    for k, *found in results.pop():
+        v = np.sort([x for i, x in rows if i == k])
+        for p, q in zip((0.25, 0.5, 0.75), found, strict=True):
+            at = p * (len(v) - 1)
+            a, b = v[int(np.floor(at))], v[int(np.ceil(at))]
+            assert q == (a if a == b else a + (b - a) * (at - np.floor(at)))
+
+
+def test_infinite_and_missing_numbers(spark):
+    rows = [("a", float("inf")), ("a", 1.0), ("a", float("nan")), ("a", None), ("a", float("-inf")), ("b", float("inf"))]
+    got = as_dict(pc.exact_percentiles(spark.createDataFrame(rows, "k string, v double"), ["k"], "v", {"m": 0.5}, low="lo_"), 1)
+    assert got == {("a",): (1.0, float("-inf")), ("b",): (float("inf"), float("inf"))}
+
+
+def test_values_on_a_fence_stay(spark):
+    values = [10.0, 20.0, 30.0, 40.0, 50.0]  # quartiles 20 and 40, fences -10 and 70
+    df = spark.createDataFrame([("a", v) for v in [*values, 70.0, -10.0]], "k string, v double")
+    # quartiles of all seven: 15 and 45, fences -30 and 90
+    assert as_dict(pc.trimmed_percentiles(df, ["k"], "v", {"m": 0.5}), 1) == {("a",): (30.0, -10.0, 70.0)}
+    edge = spark.createDataFrame([("a", v) for v in [0.0, 1.0, 2.0, 3.0, 4.0, 7.0]], "k string, v double")
+    # quartiles 1.25 and 3.75, fences -2.5 and 7.5
+    assert as_dict(pc.trimmed_percentiles(edge, ["k"], "v", {"m": 0.5}, upper=7.0), 1) == {("a",): (2.5, 0.0, 7.0)}
+    assert as_dict(pc.trimmed_percentiles(edge, ["k"], "v", {"m": 0.5}, upper=6.999), 1) == {("a",): (2.0, 0.0, 4.0)}
