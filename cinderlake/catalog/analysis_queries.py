@@ -22,6 +22,15 @@ def _round(df, **digits):
     return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in df.columns])
 
 
+def _exact(df):
+    """Areas as decimals of two digits: their sums, and so the rounded means, don't depend on the order of rows."""
+    return df.withColumn("total_area", F.col("total_area").cast("decimal(18,2)"))
+
+
+def _doubles(df, *names):
+    return df.select(*[F.col(c).cast("double").alias(c) if c in names else F.col(c) for c in df.columns])
+
+
 def _district_areas(spark, d):
     c, n = star.table(spark, d, "customer"), star.table(spark, d, "nation")
     return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(
@@ -81,7 +90,7 @@ FROM fires GROUP BY ALL"""
 
 
 def mean_area_monthly(spark, d):
-    return _round(analysis.mean_area_monthly(star.fires(spark, d)), mean_area=6)
+    return _doubles(_round(analysis.mean_area_monthly(_exact(star.fires(spark, d))), mean_area=6), "mean_area")
 
 
 def month_region_heatmap(spark, d):
@@ -94,11 +103,12 @@ SELECT lau1_code, {', '.join(f"count(*) FILTER (month(ts) = {m}) AS m{m}" for m
 
 
 def yearly_trend(spark, d):
-    return _round(analysis.yearly_trend(star.fires(spark, d)), total_area=2, mean_area=6, slope=4)
+    out = _round(analysis.yearly_trend(_exact(star.fires(spark, d))), total_area=2, mean_area=6, slope=4)
+    return _doubles(out, "total_area", "mean_area")
 
 
 _TREND_SQL = f"""WITH {star.FIRES_SQL},
-y AS (SELECT year, count(*) AS fires, sum(total_area) AS total_area, avg(total_area) AS mean_area FROM fires GROUP BY year)
+y AS (SELECT year, count(*) AS fires, sum(CAST(total_area AS DECIMAL(18,2)))::DOUBLE AS total_area, avg(CAST(total_area AS DECIMAL(18,2))) AS mean_area FROM fires GROUP BY year)
 SELECT year, fires, round(total_area, 2) AS total_area, round(mean_area, 6) AS mean_area,
        fires - lag(fires) OVER (ORDER BY year) AS change,
        round((SELECT regr_slope(fires, year) FROM y), 4) AS slope
@@ -148,10 +158,10 @@ def temp_band_count(spark, d):
 
 
 def temp_band_area(spark, d):
-    severity = F.col("total_area") + F.col("temp_max")
+    severity = F.col("total_area") + F.col("temp_max").cast("decimal(18,2)")
     hours = F.when(F.col("extinguishing_ts") > F.col("alarm_ts"), millis_between("alarm_ts", "extinguishing_ts") / 3_600_000)
-    out = analysis.temperature_bands(_warm_fires(spark, d), "temp_max", 5.0, severity=severity, duration=hours)
-    return _round(out, total_area=2, mean_area=6, mean_duration=6, mean_severity=6)
+    out = analysis.temperature_bands(_exact(_warm_fires(spark, d)), "temp_max", 5.0, severity=severity, duration=hours)
+    return _doubles(_round(out, total_area=2, mean_area=6, mean_duration=6, mean_severity=6), "total_area", "mean_area", "mean_severity")
 
 
 def temp_band_region(spark, d):
@@ -160,21 +170,21 @@ def temp_band_region(spark, d):
 
 
 _BAND_AREA_SQL = f"""WITH {_WARM_SQL}
-SELECT floor(temp_max / 5) * 5 AS band, count(*) AS fires, round(sum(total_area), 2) AS total_area,
-       round(avg(total_area), 6) AS mean_area,
+SELECT floor(temp_max / 5) * 5 AS band, count(*) AS fires, sum(CAST(total_area AS DECIMAL(18,2)))::DOUBLE AS total_area,
+       round(avg(CAST(total_area AS DECIMAL(18,2))), 6) AS mean_area,
        round(avg(CASE WHEN extinguishing_ts > alarm_ts THEN date_diff('microsecond', alarm_ts, extinguishing_ts) / 3.6e9 END), 6) AS mean_duration,
-       round(avg(total_area + temp_max), 6) AS mean_severity
+       round(avg(CAST(total_area AS DECIMAL(18,2)) + CAST(temp_max AS DECIMAL(18,2))), 6) AS mean_severity
 FROM warm GROUP BY 1"""
 
 
 def area_by_response_band(spark, d):
-    out = analysis.area_by_response_band(star.timed_fires(spark, d), 43200.0)
-    return _round(out, total_area=2, mean_area=6)
+    out = analysis.area_by_response_band(_exact(star.timed_fires(spark, d)), 43200.0)
+    return _doubles(_round(out, total_area=2, mean_area=6), "total_area", "mean_area")
 
 
 _RESPONSE_BAND_SQL = f"""WITH {star.FIRES_SQL}, {star.TIMES_SQL}
 SELECT floor(date_diff('microsecond', alarm_ts, first_response_ts) / 6e7 / 43200) * 43200 AS band, count(*) AS fires,
-       round(sum(total_area), 2) AS total_area, round(avg(total_area), 6) AS mean_area
+       sum(CAST(total_area AS DECIMAL(18,2)))::DOUBLE AS total_area, round(avg(CAST(total_area AS DECIMAL(18,2))), 6) AS mean_area
 FROM timed WHERE first_response_ts > alarm_ts GROUP BY 1"""
 
 
@@ -237,18 +247,17 @@ SELECT year, round(avg(CASE WHEN id_ref_fire_type = '1-URGENT' THEN 1.0 ELSE 0.0
 
 
 def presence_mean(spark, d):
-    """Mean of a measure over areas with and without severe fires."""
-    severe = star.fires(spark, d).filter("total_area > 490000").select(F.col("id_rel_lau").alias("hit")).distinct()
+    """Mean of a measure over areas with and without fires."""
+    burned = star.fires(spark, d).select(F.col("id_rel_lau").alias("hit")).distinct()
     c = star.table(spark, d, "customer")
-    marked = c.join(severe, F.col("c_custkey") == F.col("hit"), "left").withColumn("with_fire", F.col("hit").isNotNull())
+    marked = c.join(burned, F.col("c_custkey") == F.col("hit"), "left").withColumn("with_fire", F.col("hit").isNotNull())
     return _round(analysis.band_aggregate(
         marked, {}, {"areas": F.count(F.lit(1)), "mean": F.avg("c_acctbal")}, by=["with_fire"]), mean=6)
 
 
-_PRESENCE_SQL = """
-SELECT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o_orderpriority <> '4-NOT SPECIFIED'
-               AND o_totalprice > 490000) AS with_fire, count(*) AS areas, round(avg(c_acctbal), 6) AS mean
-FROM customer c GROUP BY 1"""
+_PRESENCE_SQL = f"""WITH {star.FIRES_SQL}
+SELECT EXISTS (SELECT 1 FROM fires WHERE id_rel_lau = c_custkey) AS with_fire, count(*) AS areas, round(avg(c_acctbal), 6) AS mean
+FROM customer GROUP BY 1"""
 
 
 def weighted_share(spark, d):
@@ -345,7 +354,7 @@ QUERIES = {
     "density": (density, _DENSITY_SQL),
     "season_week_counts": (season_week_counts, _SEASON_SQL),
     "mean_area_monthly": (mean_area_monthly, f"""WITH {star.FIRES_SQL}
-SELECT CAST(month(ts) AS INTEGER) AS month, round(avg(total_area), 6) AS mean_area FROM fires GROUP BY 1"""),
+SELECT CAST(month(ts) AS INTEGER) AS month, round(avg(CAST(total_area AS DECIMAL(18,2))), 6) AS mean_area FROM fires GROUP BY 1"""),
     "month_region_heatmap": (month_region_heatmap, _HEATMAP_SQL),
     "yearly_trend": (yearly_trend, _TREND_SQL),
     "size_classes": (size_classes, _SIZE_SQL),

@@ -277,7 +277,8 @@ def _pulls(spark, d):
 
 def refresh_upsert(spark, d):
     stored, fresh = _pulls(spark, d)
-    out = incremental.refresh(stored, fresh, _START, order=tuple(_TIE))
+    once = incremental.pick_per_key(incremental.keep_before(stored, "ts", _START), ["year", "original_id"], list(_TIE))
+    out = incremental.refresh(once, fresh, _START, order=tuple(_TIE))
     return out.select("year", "original_id", "ts", "l_linenumber", "ingest_seq", F.round("value", 2).alias("value"))
 
 

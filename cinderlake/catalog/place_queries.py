@@ -51,8 +51,8 @@ def _perimeter_parts(spark, d):
 
 
 _PARTS_SQL = """
-parts AS (SELECT l_orderkey AS fire_id, l_linenumber AS part, l_quantity * round(l_discount * 100, 5) AS area
-          FROM lineitem WHERE l_discount > 0)"""
+parts AS (SELECT l_orderkey AS fire_id, min(l_linenumber) AS part, l_quantity * round(l_discount * 100, 5) AS area
+          FROM lineitem WHERE l_discount > 0 GROUP BY l_orderkey, l_quantity, round(l_discount * 100, 5))"""
 
 
 def layer_perimeters(spark, d):
@@ -123,12 +123,12 @@ FROM (SELECT *, CASE WHEN event_type <> 'click' THEN value END AS v FROM events)
 
 
 def newest_first_top(spark, d):
-    return layers.newest_first(star.fires(spark, d), 1999, "1999-02-10", limit=100).select("id", "ts")
+    return layers.newest_first(star.fires(spark, d), 1999, "1999-02-10").select("id", "ts")
 
 
 _NEWEST_SQL = """
 SELECT o_orderkey AS id, o_orderdate AS ts FROM orders
-WHERE year(o_orderdate) = 1999 AND o_orderdate >= TIMESTAMP '1999-02-10' ORDER BY ts DESC, id LIMIT 100"""
+WHERE year(o_orderdate) = 1999 AND o_orderdate >= TIMESTAMP '1999-02-10' ORDER BY ts DESC, id"""
 
 
 # --- geography -------------------------------------------------------------------------------
@@ -193,7 +193,9 @@ FROM outline GROUP BY code"""
 
 
 def ine_join(spark, d):
-    o = star.table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") + 20).cast("double").alias("INE"))
+    # every seventh code is longer than the units' codes and names none
+    long_code = F.when(F.col("o_orderkey") % 7 == 0, F.col("o_custkey") * 10 + 1_000_000_000_000)
+    o = star.table(spark, d, "orders").select("o_orderkey", F.coalesce(long_code, F.col("o_custkey") + 20).cast("double").alias("INE"))
     units = star.lau(spark, d).filter("level = 3").select(
         F.lpad(F.col("code").cast("string"), 12, "0").alias("code"), "name", "level")
     return geography.join_by_statistical_code(o, units, width=12).select("o_orderkey", "ine_code", "ine_name")
@@ -201,7 +203,7 @@ def ine_join(spark, d):
 
 _INE_SQL = """
 SELECT o_orderkey, lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS ine_code, c_name AS ine_name
-FROM orders LEFT JOIN customer ON o_custkey + 20 = c_custkey"""
+FROM orders LEFT JOIN customer ON o_custkey + 20 = c_custkey AND o_orderkey % 7 <> 0"""
 
 
 def place_lookup(spark, d):
@@ -260,6 +262,26 @@ def point_first_polygon(spark, d):
     ).select("id", "id_rel_lau")
 
 
+def point_on_border(spark, d):
+    """Points and borders on multiples of 0.1, at the default cell: a point on a border is in both rectangles."""
+    points = star.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 400 / 10).alias("lon"), (F.col("o_orderkey") % 70 / 10).alias("lat"))
+
+    def v(x, y):
+        return F.struct((x / 10).alias("x"), (y / 10).alias("y"))
+
+    x, y = F.col("n_regionkey") * 73 + 17, F.floor(F.col("n_nationkey") / 5) * 13 + 4
+    ring = F.array(v(x, y), v(x + 73, y), v(x + 73, y + 13), v(x, y + 13), v(x, y))
+    shapes = star.table(spark, d, "nation").select(F.col("n_nationkey").alias("code"), F.array(ring).alias("rings"))
+    return spatial.points_in_polygons(points, shapes, x="lon", y="lat", cell=0.1).select("id", "id_rel_lau")
+
+
+_BORDER_SQL = """
+WITH shapes AS (SELECT n_nationkey AS code, n_regionkey * 73 + 17 AS x, n_nationkey // 5 * 13 + 4 AS y FROM nation)
+SELECT o_orderkey AS id, code AS id_rel_lau FROM orders JOIN shapes
+ON o_custkey % 400 BETWEEN x AND x + 73 AND o_orderkey % 70 BETWEEN y AND y + 13"""
+
+
 def snap_points(spark, d):
     grid = 0.01
     return _fire_points(spark, d).select("id", F.round(p.snap("lon", grid), 5).alias("lon"))
@@ -379,6 +401,7 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionke
     "place_lookup": (place_lookup, _PLACE_SQL),
     "point_in_polygon": (point_in_polygon, f"WITH {_PIP_BASE} SELECT id, code AS id_rel_lau FROM hits"),
     "point_first_polygon": (point_first_polygon, f"WITH {_PIP_BASE} SELECT id, min(code) AS id_rel_lau FROM hits GROUP BY id"),
+    "point_on_border": (point_on_border, _BORDER_SQL),
     "snap_points": (snap_points, """SELECT o_orderkey AS id,
 round(round_even(o_totalprice / 1000 / 0.01::DOUBLE, 0) * 0.01::DOUBLE, 5) AS lon FROM orders"""),
     "polygon_measures": (polygon_measures, _MEASURE_SQL),

@@ -98,7 +98,10 @@ def snap(c: Column | str, grid: float = 1e-5) -> Column:
 def file_name(url: Column | str) -> Column:
     """Percent-encoded last part of a URL path."""
     last = F.element_at(F.split(as_column(url), "/"), -1)
-    return F.replace(F.url_encode(last), F.lit("+"), F.lit("%20"))
+    # `url_encode` is for forms; in a path a space is %20, an asterisk %2A, and a tilde stays
+    for form, path in (("+", "%20"), ("*", "%2A"), ("%7E", "~")):
+        last = F.replace(F.url_encode(last) if form == "+" else last, F.lit(form), F.lit(path))
+    return last
 
 
 def on_or_after(year: Column, month: Column, day: Column, start) -> Column:

@@ -94,8 +94,9 @@ def units_from_boundaries(boundaries: DataFrame, rings: str = "rings") -> DataFr
 def join_by_statistical_code(
     df: DataFrame, lau: DataFrame, ine: str = "INE", width: int = 6, level: int = 3
 ) -> DataFrame:
-    """Parish found by the statistical code, zero-padded to the width of the unit codes."""
-    padded = F.lpad(F.col(ine).cast("bigint").cast("string"), width, "0")
+    """Parish found by the statistical code, zero-padded to the width of the unit codes; a longer code finds none."""
+    digits = F.col(ine).cast("bigint").cast("string")
+    padded = F.when(F.length(digits) <= width, F.lpad(digits, width, "0"))
     units = lau.filter(F.col("level") == level).select(
         F.col("code").alias("ine_code"), F.col("name").alias("ine_name"))
     return df.join(units, padded == F.col("ine_code"), "left")

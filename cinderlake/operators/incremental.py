@@ -14,16 +14,16 @@ from cinderlake.sources.sinks import remove_years, stored_years, write_fact
 def pick_per_key(df: DataFrame, keys: list[str], order: list[str], last: bool = True) -> DataFrame:
     """The last (or first) row per key by `order`; rows with a NULL key form one group.
 
-    A mergeable maximum over the whole row: each task keeps one row per key before the shuffle, so
-    a key that many rows share is no heavier than any other. `order` has to be total.
+    A mergeable maximum of one struct per row, the order first: each task keeps one row per key before
+    the shuffle, so a key that many rows share is no heavier than any other, and every column is held
+    once. Columns outside the order break its ties.
     """
-    def quoted(names: list[str]) -> str:
-        return ", ".join(f"`{c}`" for c in names)
-
-    rest = [c for c in df.columns if c not in keys]
-    choose = "max_by" if last else "min_by"
-    picked = df.groupBy(*keys).agg(
-        F.expr(f"{choose}(struct({quoted(rest)}), struct({quoted(order)}))").alias("_row"))
+    rest = [c for c in df.columns if c not in keys and c not in order]
+    ordered = [c for c in order if c not in keys]
+    row = ", ".join(f"`{c}`" for c in [*ordered, *rest])
+    if not row:
+        return df.distinct()
+    picked = df.groupBy(*keys).agg(F.expr(f"{'max' if last else 'min'}(struct({row}))").alias("_row"))
     return picked.selectExpr(*[f"`{c}`" if c in keys else f"_row.`{c}` AS `{c}`" for c in df.columns])
 
 
@@ -35,16 +35,12 @@ def last_write_wins(df: DataFrame, keys: tuple[str, ...] = ("ANO", "original_id"
 def concat_dedup(fresh: DataFrame, stored: DataFrame, keys: tuple[str, ...] = ("id",), order: tuple[str, ...] = ()) -> DataFrame:
     """Union of a fresh pull and the stored rows, fresh rows winning on equal keys.
 
-    When either side is empty the other is returned as it is. Within one side the first row by
-    `order` wins, and the remaining columns break ties, so the choice does not depend on file order.
+    Within one side the first row by `order` wins, and the remaining columns break ties, so the choice
+    does not depend on file order. Keys are unique in the result whether a side is empty or not; the
+    original returns the other side as it is when one is empty.
     """
-    if fresh.isEmpty():
-        return stored
-    if stored.isEmpty():
-        return fresh
     both = fresh.withColumn("_side", F.lit(0)).unionByName(stored.withColumn("_side", F.lit(1)))
-    rest = [c for c in fresh.columns if c not in keys and c not in order]
-    return pick_per_key(both, list(keys), ["_side", *order, *rest], last=False).drop("_side")
+    return pick_per_key(both, list(keys), ["_side", *order], last=False).drop("_side")
 
 
 def keep_before(df: DataFrame, ts: str, start) -> DataFrame:
@@ -58,10 +54,19 @@ def refresh(
 ) -> DataFrame:
     """Trailing-window refresh: stored rows before `start` and fresh rows from `start` on.
 
-    Running it twice with the same pull gives the same rows.
+    Stored rows are one per key already and are only compared with the pull's keys. Running it twice
+    with the same pull gives the same rows. A stored row whose key is in the pull is
+    replaced even if its time was before `start`.
     """
-    window = fresh.filter(F.col(ts) >= F.lit(start).cast("timestamp_ntz"))
-    return pick_per_key(keep_before(stored, ts, start).unionByName(window), list(keys), list(order))
+    window = pick_per_key(fresh.filter(F.col(ts) >= F.lit(start).cast("timestamp_ntz")), list(keys), list(order))
+    return without_keys(keep_before(stored, ts, start), window, keys).unionByName(window)
+
+
+def without_keys(stored: DataFrame, fresh: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Stored rows whose key no fresh row has; NULL keys are compared like values."""
+    taken = fresh.select(*[F.col(c).alias(f"_{c}") for c in keys])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    return stored.join(taken, same, "left_anti")
 
 
 def window_start(today: dt.date, days: int) -> dt.date:
@@ -93,9 +98,7 @@ def upsert(
     incoming = fresh.drop(created, updated).withColumn(created, now).withColumn(updated, now)
     both = stored.withColumn("_rank", F.lit(0)).unionByName(incoming.withColumn("_rank", F.lit(1)))
     rest = [c for c in stored.columns if c not in keys and c not in (created, updated)]
-    values = [c for c in stored.columns if c not in keys and c != created]
-    merged = both.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), F.struct("_rank", updated, *rest)).alias("_row"), F.min(created).alias(created))
+    merged = both.groupBy(*keys).agg(F.max(F.struct("_rank", updated, *rest)).alias("_row"), F.min(created).alias(created))
     return merged.select(*[
         F.col(c) if c in keys or c == created else F.col(f"_row.{c}").alias(c) for c in stored.columns])
 

@@ -19,7 +19,6 @@ from cinderlake.functions.parsing import snap
 from cinderlake.session import cut_lineage
 
 EDGE_BYTES = 64
-CROWDED_BUCKET = 16
 BROADCAST_BYTES = 256 * 1024 * 1024
 
 
@@ -39,31 +38,31 @@ def polygon_cells(polygons: DataFrame, cell: float, code: str = "code", rings: s
     rows = boxed.select(
         "code", "edges", "b",
         F.explode(F.sequence(_cell(F.col("b.y_min"), cell), _cell(F.col("b.y_max"), cell))).alias("cy"))
-    band_low, band_high = F.col("cy") * F.lit(float(cell)), (F.col("cy") + 1) * F.lit(float(cell))
+    # Cells are compared as whole numbers: floor and division never decrease, so an edge is in every
+    # cell that one of its points falls in, whatever the rounding.
     banded = rows.select(
         "code", "b", "cy",
-        F.filter("edges", lambda e: (F.least(e["y1"], e["y2"]) <= band_high)
-                 & (F.greatest(e["y1"], e["y2"]) >= band_low)).alias("edges"))
+        F.filter("edges", lambda e: (_cell(F.least(e["y1"], e["y2"]), cell) <= F.col("cy"))
+                 & (_cell(F.greatest(e["y1"], e["y2"]), cell) >= F.col("cy"))).alias("edges"))
     cells = banded.select(
         "code", "cy", "edges",
         F.explode(F.sequence(_cell(F.col("b.x_min"), cell), _cell(F.col("b.x_max"), cell))).alias("cx"))
-    left = F.col("cx") * F.lit(float(cell))
     kept = cells.select(
-        "cx", "cy", "code", F.filter("edges", lambda e: F.greatest(e["x1"], e["x2"]) >= left).alias("edges")
+        "cx", "cy", "code", F.filter("edges", lambda e: _cell(F.greatest(e["x1"], e["x2"]), cell) >= F.col("cx")).alias("edges")
     ).filter(F.size("edges") > 0)
     return kept.groupBy("cx", "cy", "code").agg(F.collect_list("edges").alias("parts"))
 
 
 def points_in_polygons(
     points: DataFrame, polygons: DataFrame, *, x: str, y: str, cell: float, code: str = "code",
-    rings: str = "rings", out: str = "id_rel_lau", tie: str = "all", key: str | None = None,
+    rings: str = "rings", out: str = "id_rel_lau", tie: str = "all", key: str | list[str] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Points with the code of each polygon that covers them, borders included.
 
     Points outside all polygons are left out. A point on a shared border gives one row per polygon
-    with `tie="all"`; `tie="first"` keeps the smallest code per `key`. Edges are planar in the
-    units of the coordinates.
+    with `tie="all"`; `tie="first"` keeps the smallest code per `key`, the column or columns that
+    identify a point. Edges are planar in the units of the coordinates.
     """
     covers = polygon_cells(polygons, cell, code, rings).withColumnRenamed("code", out)
     measured = covers.agg(F.sum(F.aggregate("parts", F.lit(0), lambda a, p: a + F.size(p)))).first()[0] or 0
@@ -78,9 +77,10 @@ def points_in_polygons(
         return hit
     if key is None:
         raise ValueError("tie='first' needs the key that identifies a point")
-    rest = [c for c in points.columns if c != key]
-    return hit.groupBy(key).agg(F.min_by(F.struct(*rest), out).alias("_p"), F.min(out).alias(out)) \
-              .select(key, *[F.col(f"_p.{c}").alias(c) for c in rest], out).select(*points.columns, out)
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in points.columns if c not in keys]
+    first = hit.groupBy(*keys).agg(F.min(F.struct(F.col(out).alias("_out"), *rest)).alias("_p"))
+    return first.select(*[F.col(c) if c in keys else F.col(f"_p.{c}").alias(c) for c in points.columns], F.col("_p._out").alias(out))
 
 
 def unit_edges(polygons: DataFrame, code: str, rings: str = "rings") -> DataFrame:
@@ -109,12 +109,15 @@ def perimeter_parts(parts: DataFrame, grid: float = 1e-5) -> DataFrame:
     """Usable perimeter parts `fire_id, part, rings, area`: snapped to the grid, invalid ones left out.
 
     The union of a fire's parts stays in long form, one row per part, so that a fire with very many
-    parts never becomes one row.
+    parts never becomes one row. A part that is the same as another of its fire counts once.
     """
     # one-element explodes: each expression is computed once and not again in every later use
     snapped = parts.select("fire_id", "part", F.explode(F.array(g.snap_rings("rings", grid))).alias("rings"))
     measured = snapped.select("*", F.explode(F.array(g.enclosed_area("rings"))).alias("area"))
-    return measured.filter(F.col("area").isNotNull())
+    usable = measured.filter(F.col("area").isNotNull())
+    # Rings meet by their area and two hashes, so they are compared as short keys.
+    keyed = usable.groupBy("fire_id", F.xxhash64("rings").alias("_h1"), F.hash("rings").alias("_h2"), "area")
+    return keyed.agg(F.min(F.struct("part", "rings")).alias("_p")).select("fire_id", "_p.part", "_p.rings", "area")
 
 
 def attach_perimeters(fact: DataFrame, parts: DataFrame, key: str = "id") -> DataFrame:
@@ -129,11 +132,6 @@ def snap_to_weather_cell(df: DataFrame, step: float, lat: str = "lat", lon: str
     return df.withColumn("cell_lat", F.round(snap(lat, step), 6)).withColumn("cell_lon", F.round(snap(lon, step), 6))
 
 
-def _most_in_a_bucket(rows: DataFrame, size: float) -> int:
-    counts = rows.groupBy(_cell(F.col("sx"), size), _cell(F.col("sy"), size)).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0]
-
-
 def nearest_station(
     points: DataFrame, stations: DataFrame, *, key: str, bucket: float | None = None, x: str = "lon",
     y: str = "lat", station: str = "station",
@@ -142,27 +140,37 @@ def nearest_station(
 
     Points look at the stations of their own and the eight neighbouring buckets. A find within one
     bucket width is final. The points left over are tried again with buckets four times as wide, until
-    none is left, so the answer is exact for any layout of stations. Unless `bucket` is given, the
-    first width is halved until no bucket is crowded, so a point meets few candidates.
+    a bucket is as wide as everything, so the answer is exact for any layout of stations. Unless
+    `bucket` is given, the first width comes from the stations' median spacing, found by one sketch of
+    their sorted coordinates. Points and stations without two finite coordinates take no part.
     """
+    def finite(frame: DataFrame, *names: str) -> DataFrame:
+        for c in names:
+            frame = frame.filter(F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+        return frame
+
     rows = stations.groupBy(F.col(x).alias("sx"), F.col(y).alias("sy")).agg(F.min(station).alias("station"))
-    rows = cut_lineage(rows.filter("sx IS NOT NULL AND sy IS NOT NULL"))
-    extent = rows.agg(F.min("sx"), F.max("sx"), F.min("sy"), F.max("sy"), F.count("sx")).first()
-    if extent[0] is None:
+    rows = cut_lineage(finite(rows, "sx", "sy"))
+    waiting = finite(points.select(F.col(key), F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py")), "px", "py")
+    quantiles = [q / 8 for q in range(9)]
+    extent = rows.agg(F.count("sx").alias("n"), F.percentile_approx("sx", quantiles).alias("x"), F.percentile_approx("sy", quantiles).alias("y"),
+                      F.min("sx").alias("x0"), F.max("sx").alias("x1"), F.min("sy").alias("y0"), F.max("sy").alias("y1")).first()
+    if not extent["n"]:
         return points.select(key).filter(F.lit(False)).selectExpr(
             key, "cast(null as string) station", "cast(null as double) distance")
+    span = waiting.agg(F.min("px").alias("x0"), F.max("px").alias("x1"), F.min("py").alias("y0"), F.max("py").alias("y1")).first()
+    ends = {c: [r[c + e] for r in (extent, span) for e in "01" if r[c + e] is not None] for c in "xy"}
+    reach = max([max(v) - min(v) for v in ends.values()] + [1e-9])
     if bucket is None:
-        wide, high = extent[1] - extent[0], extent[3] - extent[2]
-        bucket = math.sqrt(wide * high / extent[4]) or max(wide, high) or 1.0
-        while _most_in_a_bucket(rows, bucket) > CROWDED_BUCKET:
-            bucket /= 2
-    span = points.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
-    reach = max([abs(a - b) for a in span for b in extent[:4] if a is not None] + [bucket])
-    waiting = points.select(F.col(key), F.col(x).alias("px"), F.col(y).alias("py")).filter("px IS NOT NULL AND py IS NOT NULL")
+        # The densest eighth of either axis sets the width, so that a cluster is not one bucket.
+        narrow = [min((b - a for a, b in zip(extent[c], extent[c][1:], strict=False) if b > a), default=reach) for c in "xy"]
+        bucket = math.sqrt(narrow[0] * narrow[1] * 64 / extent["n"])
+    # A coordinate over the width stays a whole number that a long holds.
+    largest = max(abs(v) for values in ends.values() for v in values)
+    size = max(float(bucket), reach / 2**20, largest / 2**50)
     done = None
-    size = float(bucket)
     offsets = F.sequence(F.lit(-1), F.lit(1))
-    while True:
+    while True:  # at most 11 rounds: from reach / 2**20 to reach by steps of four
         spread = rows.withColumn("dx", F.explode(offsets)).withColumn("dy", F.explode(offsets)).select(
             "station", "sx", "sy", (_cell(F.col("sx"), size) + F.col("dx")).alias("bx"),
             (_cell(F.col("sy"), size) + F.col("dy")).alias("by"))
@@ -173,10 +181,11 @@ def nearest_station(
                 F.min("px").alias("px"), F.min("py").alias("py"),
                 F.min(F.when(F.col("station").isNotNull(), F.struct("distance", "station"))).alias("hit"))
         tried = cut_lineage(tried)
-        final = F.coalesce(F.col("hit.distance") <= size, F.lit(False)) if size <= 2 * reach else F.lit(True)
+        last = size > reach  # all stations are in neighbouring buckets now
+        final = F.lit(True) if last else F.coalesce(F.col("hit.distance") <= size, F.lit(False))
         found = tried.filter(final).select(key, "hit.station", "hit.distance")
         done = found if done is None else done.unionByName(found)
         waiting = tried.filter(~final).select(key, "px", "py")
-        if size > 2 * reach or waiting.isEmpty():
+        if last or waiting.isEmpty():
             return done
         size *= 4

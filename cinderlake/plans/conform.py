@@ -11,7 +11,7 @@ from cinderlake import schema
 from cinderlake.functions import parsing as p
 from cinderlake.operators import dimensions, spatial
 from cinderlake.operators.geography import join_by_statistical_code
-from cinderlake.operators.incremental import keep_before
+from cinderlake.operators.incremental import keep_before, without_keys
 from cinderlake.operators.percentiles import exact_percentiles
 from cinderlake.session import staged
 
@@ -84,7 +84,8 @@ def conform(
     """
     codes = codes or {n: schema.code_table(typed.sparkSession, n) for n in schema.CODE_TABLES}
     if start is not None:
-        typed = typed.filter(p.on_or_after(F.col("ANO"), F.col("MES"), F.col("DIA"), start))
+        # a row without a whole date is kept here, to be rejected in every mode
+        typed = typed.filter(F.coalesce(p.on_or_after(F.col("ANO"), F.col("MES"), F.col("DIA"), start), F.lit(True)))
     # one pass finds the labels of all dimensions; from here on they are small tables
     labels = staged(dimensions.distinct_labels(typed, schema.DIMENSION_LABELS), "labels")
     extended = {}
@@ -98,7 +99,7 @@ def conform(
     for c in required:
         complete = complete & F.col(c).isNotNull()
     located = spatial.points_in_polygons(
-        typed.filter(complete), parishes, x="LON", y="LAT", cell=cell, out="id_rel_lau", tie=tie, key="original_id")
+        typed.filter(complete), parishes, x="LON", y="LAT", cell=cell, out="id_rel_lau", tie=tie, key=["ANO", "original_id"])
     if use_ine:
         located = _with_ine_fallback(typed.filter(complete), located, parishes)
     for name, label in schema.DIMENSION_LABELS.items():
@@ -120,8 +121,13 @@ def _with_ine_fallback(complete: DataFrame, located: DataFrame, parishes: DataFr
 
 
 def reload(fact: DataFrame, fresh: DataFrame, start) -> DataFrame:
-    """The fact with everything from `start` on replaced by `fresh`; a full load replaces it all."""
-    return fresh if start is None else keep_before(fact, "ts", start).unionByName(fresh)
+    """The fact with everything from `start` on replaced by `fresh`; a full load replaces it all.
+
+    A stored fire that the pull moves into the window is replaced too, not kept twice.
+    """
+    if start is None:
+        return fresh
+    return without_keys(keep_before(fact, "ts", start), fresh.select("year", "original_id").distinct(), ("year", "original_id")).unionByName(fresh)
 
 
 def with_flags(df: DataFrame, columns: tuple[str, ...] = ("QUEIMADA", "QUEIMA", "FOGACHO", "INCENDIO", "AGRICOLA")) -> DataFrame:

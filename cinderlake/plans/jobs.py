@@ -49,7 +49,8 @@ def typed_from_files(spark: SparkSession, source: str, start: dt.date | None = N
     text = read_pipe_csv(spark, source, pattern=pattern, ingest_column="ingest_seq", na_tokens=False)
     typed = typed_occurrences(text)
     if start is not None:
-        typed = typed.filter(on_or_after(F.col("ANO"), F.col("MES"), F.col("DIA"), start) | (F.size("bad_columns") > 0))
+        # a row without a whole date stays, so that it is rejected and not lost
+        typed = typed.filter(F.coalesce(on_or_after(F.col("ANO"), F.col("MES"), F.col("DIA"), start), F.lit(True)) | (F.size("bad_columns") > 0))
     good = accepted(typed)
     rest = [c for c in good.columns if c not in ("ANO", "original_id", "ingest_seq")]
     return last_write_wins(good, order=("ingest_seq", *rest)), quarantined(typed)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,6 @@ from cinderlake import schema
 # select instead of thousands of calls into the JVM.
 NA_LIST = ", ".join("'" + token + "'" for token in schema.NA_TOKENS)
 
-BROADCAST_FILE_LIMIT = 100_000  # file names; a table of this many stays within a few MB
-
 
 def read_occurrence_xml(spark: SparkSession, path: str | list[str], row_tag: str) -> DataFrame:
     """Occurrences of landed XML replies, one row per `row_tag` element.
@@ -51,13 +50,11 @@ def find_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bo
     ).orderBy("source_file", "path")
 
 
-def _text_reader(spark: SparkSession, recursive: bool, pattern: str | None):
-    reader = (
+def _text_reader(spark: SparkSession):
+    return (
         spark.read.option("sep", "|").option("header", "true").option("inferSchema", "false")
         .option("mode", "PERMISSIVE").option("quote", '"').option("escape", '"')
-        .option("recursiveFileLookup", str(recursive).lower())
     )
-    return reader.option("pathGlobFilter", pattern) if pattern else reader
 
 
 def read_pipe_csv(
@@ -76,27 +73,51 @@ def read_pipe_csv(
 
     `ingest_column` adds the file's modification time in microseconds, an explicit write order.
 
-    Header names are trimmed. With `columns` given, the header of each file is checked against
-    them instead of trusting the first file's. With `encoding=None` each file is taken as UTF-8,
-    or as Latin-1 as a whole when any of its rows is not valid UTF-8. The files are scanned as
-    single bytes and decoded per column, so the fallback costs one narrow pass to find the
-    affected files, not a second copy of the data.
+    Each file is read by its own header, with names trimmed, and files are united by name; a column
+    that a file lacks is NULL. With `columns` given, the header of each file is checked against them
+    instead. With `encoding=None` each file is taken as UTF-8, or as Latin-1 as a whole when any of its
+    lines is not valid UTF-8. Headers and encodings come from one scan of the lines as they are; the
+    driver gets one row per header and encoding, with the names of its files, as a reader needs them.
     """
-    reader = _text_reader(spark, recursive, pattern)
-    if columns:
-        reader = reader.schema(", ".join(f"`{c}` string" for c in columns)).option("enforceSchema", "false")
-    byte_wise = encoding is None
     tags = [source_column] + ([ingest_column] if ingest_column else [])
-    raw = reader.option("encoding", "ISO-8859-1" if byte_wise else encoding).csv(path)
-    names = [c.strip() for c in raw.columns]
-    raw = raw.toDF(*names)
-    if byte_wise:
-        raw = _decode_per_file(_with_file_tags(raw, tags).select("*", F.col("_metadata.file_path").alias("_path")), names, tags)
-    else:
-        raw = _with_file_tags(raw, tags)
+    groups = _file_groups(spark, path, recursive, pattern)
+    if not groups:
+        names = columns or []
+        empty = ", ".join([f"{_quoted(c)} string" for c in names] + [f"`{source_column}` string"] + [f"`{c}` bigint" for c in tags[1:]])
+        return spark.createDataFrame([], empty)
+    parts = []
+    for header, latin, files in groups:
+        names = columns or header
+        reader = _text_reader(spark).schema(", ".join(f"{_quoted(c)} string" for c in names))
+        reader = reader.option("enforceSchema", "true" if columns is None else "false")
+        raw = reader.option("encoding", encoding or ("ISO-8859-1" if latin else "UTF-8")).csv(files)
+        parts.append(_with_file_tags(raw, tags))
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    names = [c for c in rows.columns if c not in tags]
     if na_tokens:
-        raw = raw.selectExpr(*[f"CASE WHEN {c} NOT IN ({NA_LIST}) THEN {c} END AS {c}" for c in map(_quoted, names)], *tags)
-    return raw
+        return rows.selectExpr(*[f"CASE WHEN {c} NOT IN ({NA_LIST}) THEN {c} END AS {c}" for c in map(_quoted, names)], *tags)
+    return rows.select(*map(_quoted, names), *tags)
+
+
+def _file_groups(spark: SparkSession, path: str | list[str], recursive: bool, pattern: str | None) -> list[tuple[list[str], bool, list[str]]]:
+    """(header names, whether Latin-1, files) of the files that have lines, in the order of their first file."""
+    reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    # Lines of a split keep their order, so the first line of a file is the least id of the split at 0.
+    lines = reader.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"))
+    text = F.when(F.is_valid_utf8("value"), F.col("value")).otherwise(F.decode(F.col("value").cast("binary"), "ISO-8859-1"))
+    per_file = lines.groupBy("file").agg(
+        F.min_by(text, F.when(F.col("start") == 0, F.col("line"))).alias("header"),
+        F.bool_or(~F.is_valid_utf8("value")).alias("latin"))
+    found = per_file.groupBy("header", "latin").agg(F.array_sort(F.collect_list("file")).alias("files")).collect()
+    groups = []
+    for row in sorted(found, key=lambda r: r["files"][0]):
+        names = [c.strip().strip('"').strip() for c in row["header"].lstrip("\ufeff").rstrip("\r").split("|")]
+        groups.append((names, row["latin"], [unquote(f) for f in row["files"]]))
+    return groups
 
 
 def _quoted(name: str) -> str:
@@ -108,22 +129,6 @@ def _with_file_tags(raw: DataFrame, tags: list[str]) -> DataFrame:
     return raw.select("*", *[v.alias(n) for v, n in zip(values, tags)])
 
 
-def _decode_per_file(raw: DataFrame, names: list[str], tags: list[str]) -> DataFrame:
-    def as_utf8(c: str) -> str:
-        return f"cast(encode({_quoted(c)}, 'ISO-8859-1') AS string)"
-
-    broken_row = " OR ".join(f"NOT is_valid_utf8({as_utf8(c)})" for c in names)
-    latin = (
-        raw.filter(f"coalesce({broken_row}, false)")
-        .groupBy(F.col("_path").alias("_latin_path")).agg(F.lit(True).alias("_latin"))
-    )
-    if len(raw.inputFiles()) <= BROADCAST_FILE_LIMIT:
-        latin = F.broadcast(latin)
-    marked = raw.join(latin, F.col("_path") == F.col("_latin_path"), "left")
-    decoded = [f"CASE WHEN _latin IS NULL THEN {as_utf8(c)} ELSE {_quoted(c)} END AS {_quoted(c)}" for c in names]
-    return marked.selectExpr(*decoded, *tags)
-
-
 def typed_occurrences(text: DataFrame) -> DataFrame:
     """Cast every feed column to its warehouse type.
 

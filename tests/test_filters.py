@@ -5,7 +5,7 @@ from cinderlake.operators import filters as f
 
 
 def test_default_chain_on_the_sample(spark, rows):
-    assert rows(f.default_chain().apply(occurrences(spark)), "id") == [("AG101101",), ("AG101104",)]
+    assert rows(f.default_chain().apply(occurrences(spark)), "id") == [("F-21",), ("F-24",)]
 
 
 def test_missing_values_follow_the_documented_rules(spark, rows):

@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
-from samples import COLUMNS, WEATHER, _SAMPLE
+from samples import COLUMNS, INCIDENTS, WEATHER
 from test_spatial import PARISHES, RINGS
 from test_warehouse import occurrence
 
@@ -22,7 +22,7 @@ def write_year(folder, year, *cells):
 @pytest.fixture
 def sample_folder(tmp_path):
     rows = ["|".join(COLUMNS)] + [
-        "|".join([i, "Florestal", "0", lat, lon, area, a, b, "", "", "", ""]) for i, area, a, b, lat, lon in _SAMPLE]
+        "|".join([i, "Florestal", "0", lat, lon, area, a, b, "", "", "", ""]) for i, area, a, b, lat, lon in INCIDENTS]
     (tmp_path / "2001.csv").write_text("\n".join(rows) + "\n")
     (tmp_path / "2002.csv").write_text("|".join(COLUMNS) + "\nZ1|QUEIMADA|0|37,1|-8,1|9|05-03-2002|||||\n")
     return tmp_path
@@ -32,7 +32,7 @@ def test_clean_files(spark, sample_folder, rows):
     out = scratch_path(spark, "test-clean")
     jobs.clean_files(spark, str(sample_folder), out)
     kept = spark.read.option("sep", "|").option("header", "true").csv(out)
-    assert rows(kept, "id", "source_file") == [("AG101101", "2001.csv"), ("AG101104", "2001.csv")]
+    assert rows(kept, "id", "source_file") == [("F-21", "2001.csv"), ("F-24", "2001.csv")]
 
 
 def test_extract_weather(spark, sample_folder, rows):
@@ -43,7 +43,7 @@ def test_extract_weather(spark, sample_folder, rows):
     detail = spark.read.option("header", "true").csv(f"{out}/meteorology")
     summary = spark.read.option("header", "true").csv(f"{out}/summary")
     assert (detail.count(), summary.count()) == (9, 8)
-    assert rows(summary.filter("incident_id = 'AG101104'"), "start_date", "end_date", "n_days") == [("2001-07-02", "2001-07-03", "2")]
+    assert rows(summary.filter("incident_id = 'F-24'"), "start_date", "end_date", "n_days") == [("2013-06-10", "2013-06-11", "2")]
 
 
 def test_build_and_refresh(spark, tmp_path, rows):
@@ -80,6 +80,28 @@ def test_build_and_refresh(spark, tmp_path, rows):
     assert rows(spark.read.parquet(f"{store}/fire"), "original_id", "year") == [("h", 2003)]
 
 
+def test_undated_rows_are_rejected_in_every_mode(spark, tmp_path, rows):
+    parishes = spark.createDataFrame(PARISHES, f"code string, rings {RINGS}")
+    source, store = tmp_path / "in", scratch_path(spark, "test-undated")
+    source.mkdir()
+    write_year(source, 2002, dict(id="a", MES="5"), dict(id="b", MES=None))
+    for start in (None, dt.date(2002, 1, 1)):
+        jobs.build_fact(spark, str(source), parishes, store, start=start, cell=0.5)
+        assert rows(spark.read.parquet(f"{store}/fire"), "original_id") == [("a",)]
+        assert rows(spark.read.parquet(f"{store}/rejected"), "original_id") == [("b",)]
+
+
+def test_a_fire_that_moves_into_the_window_is_kept_once(spark, tmp_path, rows):
+    parishes = spark.createDataFrame(PARISHES, f"code string, rings {RINGS}")
+    source, store = tmp_path / "in", scratch_path(spark, "test-moved")
+    source.mkdir()
+    write_year(source, 2002, dict(id="a", MES="1"), dict(id="b", MES="1"))
+    jobs.build_fact(spark, str(source), parishes, store, cell=0.5)
+    write_year(source, 2002, dict(id="a", MES="7"), dict(id="b", MES="1"))
+    jobs.build_fact(spark, str(source), parishes, store, start=dt.date(2002, 6, 1), cell=0.5)
+    assert [(r.original_id, r.ts.month) for r in spark.read.parquet(f"{store}/fire").orderBy("original_id").collect()] == [("a", 7), ("b", 1)]
+
+
 def test_find_files(spark, sample_folder, rows):
     assert [r.source_file for r in find_files(spark, str(sample_folder), "*.csv").collect()] == ["2001.csv", "2002.csv"]
     assert find_files(spark, str(sample_folder / "missing")).count() == 0

@@ -115,3 +115,14 @@ def test_empty_weather_keeps_headers(spark):
     sinks.write_weather(spark.createDataFrame([], schema.WEATHER_DETAIL), spark.createDataFrame([], schema.WEATHER_SUMMARY), out)
     back = spark.read.option("header", "true").csv(f"{out}/summary")
     assert back.columns[:2] == ["source_file", "incident_id"] and back.count() == 0
+
+
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id|LAT| LON \n1|x|y\n")
+    (tmp_path / "b.csv").write_text("LON|id|LAT\ny2|2|x2\n")
+    (tmp_path / "c d.csv").write_bytes("id|OBS\n3|água\n".encode("latin-1"))
+    (tmp_path / "empty.csv").write_text("")
+    rows = occ.read_pipe_csv(spark, str(tmp_path), pattern="*.csv")
+    assert rows.columns == ["id", "LAT", "LON", "OBS", "source_file"]
+    assert sorted(tuple(r) for r in rows.collect()) == [
+        ("1", "x", "y", None, "a.csv"), ("2", "x2", "y2", None, "b.csv"), ("3", None, None, "água", "c d.csv")]

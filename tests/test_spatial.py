@@ -128,3 +128,34 @@ def test_nearest_station(spark, bucket):
     for i, x, y in pts:
         d, name = min((math.dist((x, y), (sx, sy)), s) for s, sx, sy in stations)
         assert got[i][0] == name and got[i][1] == pytest.approx(d)
+
+
+def test_border_points_at_the_default_cell(spark):
+    ring = [(1.0, 1.0), (1.7, 1.0), (1.7, 3.4), (1.0, 3.4), (1.0, 1.0)]
+    shapes = spark.createDataFrame([("a", [[{"x": x, "y": y} for x, y in ring]])], f"code string, rings {RINGS}")
+    points = [(0, 1.7, 1.5), (1, 1.0, 3.4), (2, 1.3, 1.0), (3, 1.7, 3.4), (4, 1.8, 1.5)]
+    df = spark.createDataFrame(points, "id int, lon double, lat double")
+    for cell in (0.1, 0.25, 0.3, 1.0):
+        got = sp.points_in_polygons(df, shapes, x="lon", y="lat", cell=cell)
+        assert sorted(r["id"] for r in got.collect()) == [0, 1, 2, 3], cell
+
+
+def test_first_match_per_year_and_id(spark):
+    ring = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]
+    shapes = spark.createDataFrame([(c, [[{"x": x, "y": y} for x, y in ring]]) for c in "ab"], f"code string, rings {RINGS}")
+    df = spark.createDataFrame([(2001, "i", 0.5, 0.5), (2002, "i", 0.5, 0.5)], "ANO int, id string, lon double, lat double")
+    got = sp.points_in_polygons(df, shapes, x="lon", y="lat", cell=0.1, tie="first", key=["ANO", "id"])
+    assert sorted((r["ANO"], r["id_rel_lau"]) for r in got.collect()) == [(2001, "a"), (2002, "a")]
+
+
+def test_nearest_station_with_missing_and_crowded_coordinates(spark):
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, 1e5 - 100, 0.0), (3, float("nan"), 0.0), (4, None, 1.0)], "id int, lon double, lat double")
+    stations = [("s1", 0.0, 0.0), ("s3", 1e5, 0.0), ("s4", float("nan"), 1.0)] + [(f"t{k}", 5e4 + k * 1e-9, 0.0) for k in range(60)]
+    got = {r["id"]: r["station"] for r in sp.nearest_station(points, spark.createDataFrame(stations, "station string, lon double, lat double"), key="id").collect()}
+    assert got == {1: "s1", 2: "s3"}
+
+
+def test_equal_parts_of_a_perimeter_count_once(spark):
+    ring = [[{"x": x, "y": y} for x, y in [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]]]
+    parts = spark.createDataFrame([(1, 1, ring), (1, 2, ring), (2, 1, ring)], f"fire_id int, part int, rings {RINGS}")
+    assert sorted((r["fire_id"], r["part"]) for r in sp.perimeter_parts(parts).collect()) == [(1, 1), (2, 1)]

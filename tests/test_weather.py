@@ -21,20 +21,20 @@ def sample(spark):
 def test_detail(sample, daily, rows):
     got = rows(weather.weather_detail(weather.incident_spans(sample), daily))
     assert len(got) == 9
-    assert [(r[0], str(r[2]), r[5], r[6]) for r in got if r[0] == "AG101104"] == [
-        ("AG101104", "2001-07-02", 32.7, 20.3), ("AG101104", "2001-07-03", 31.7, 17.1)]
-    assert got[0] == ("AG1011", "2001.csv", dt.date(2001, 2, 18), 37.2061111111111, -8.51305555555555, 16.8, 6.6)
+    assert [(r[0], str(r[2]), r[5], r[6]) for r in got if r[0] == "F-24"] == [
+        ("F-24", "2013-06-10", 30.5, 16.25), ("F-24", "2013-06-11", 28.0, 15.25)]
+    assert got[0] == ("F-11", "2001.csv", dt.date(2013, 3, 4), 40.125, -7.5, 14.5, 5.25)
 
 
 def test_summary(sample, daily):
     out = weather.weather_summary(weather.weather_detail(weather.incident_spans(sample), daily))
     got = {r.incident_id: r for r in out.collect()}
     assert len(got) == 8
-    long = got["AG101104"]
-    assert (long.start_date, long.end_date, long.n_days) == (dt.date(2001, 7, 2), dt.date(2001, 7, 3), 2)
-    assert long.mean_temp_max == pytest.approx(32.2) and long.mean_temp_min == pytest.approx(18.7)
-    assert (got["AG10110"].mean_temp_max, got["AG10110"].mean_temp_min) == (21.5, 11.4)
-    assert sorted(got) == ["AG1011", "AG10110", "AG101100", "AG101101", "AG101102", "AG101103", "AG101104", "AG101105"]
+    long = got["F-24"]
+    assert (long.start_date, long.end_date, long.n_days) == (dt.date(2013, 6, 10), dt.date(2013, 6, 11), 2)
+    assert long.mean_temp_max == pytest.approx(29.25) and long.mean_temp_min == pytest.approx(15.75)
+    assert (got["F-12"].mean_temp_max, got["F-12"].mean_temp_min) == (19.0, 8.5)
+    assert sorted(got) == ["F-11", "F-12", "F-13", "F-21", "F-22", "F-23", "F-24", "F-25"]
 
 
 def incident(**cells):
