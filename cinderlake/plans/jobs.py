@@ -41,12 +41,12 @@ def extract_weather(
     write_weather(detail, weather_summary(detail), target)
 
 
-def typed_from_files(spark: SparkSession, source: str, start: dt.date | None = None, pattern: str = "*.csv") -> tuple[DataFrame, DataFrame]:
+def typed_from_files(spark: SparkSession, source: str, start: dt.date | None = None, pattern: str = "*.csv", recursive: bool = False) -> tuple[DataFrame, DataFrame]:
     """(accepted, quarantined) occurrences of the yearly files, one row per year and id.
 
     The file written last wins on equal ids, the remaining columns break ties.
     """
-    text = read_pipe_csv(spark, source, pattern=pattern, ingest_column="ingest_seq", na_tokens=False)
+    text = read_pipe_csv(spark, source, pattern=pattern, recursive=recursive, ingest_column="ingest_seq", na_tokens=False)
     typed = typed_occurrences(text)
     if start is not None:
         # a row without a whole date stays, so that it is rejected and not lost
@@ -67,7 +67,7 @@ def _table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
 
 def build_fact(
     spark: SparkSession, source: str, parishes: DataFrame, warehouse: str, *, start: dt.date | None = None,
-    cell: float = 0.1, pattern: str = "*.csv", use_ine: bool = False,
+    cell: float = 0.1, pattern: str = "*.csv", recursive: bool = False, use_ine: bool = False,
 ) -> None:
     """Load yearly files into `<warehouse>/fire`, growing the dimensions in `<warehouse>/ref`.
 
@@ -76,7 +76,7 @@ def build_fact(
     Everything that is read and overwritten is staged first.
     """
     root = warehouse.rstrip("/")
-    good, bad = typed_from_files(spark, source, start, pattern)
+    good, bad = typed_from_files(spark, source, start, pattern, recursive)
     dims = {n: _table(spark, f"{root}/ref/{n}", "id int, raw_name string, code string") for n in schema.CODE_TABLES}
     done = conform.conform(staged(good, "typed"), parishes, dims, start=start, cell=cell, use_ine=use_ine)
     fresh = staged(done.fact, "fact")
