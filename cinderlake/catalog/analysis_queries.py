@@ -75,6 +75,47 @@ SELECT b.lau1_code, fires, round(fires * 1e6 / area, 6) AS fires_per_km2
 FROM (SELECT lau1_code, count(*) AS fires {_FROM} GROUP BY 1) b JOIN areas a ON b.lau1_code = a.lau1_code"""
 
 
+def _area_of_units(spark, d, level):
+    c, n = star.table(spark, d, "customer"), star.table(spark, d, "nation")
+    code = {"lau1_code": "n_regionkey", "lau2_code": "n_nationkey", "lau3_code": "c_custkey"}[level]
+    return c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(
+        F.col(code).cast("bigint").alias(level)).agg((F.sum(F.col("c_acctbal") + 1000) * 1000).alias("area"))
+
+
+def _of_all_levels(spark, d, measure):
+    parts = [measure(level).select(F.lit(k).alias("level"), F.col(level).alias("code"), *measure.columns)
+             for k, level in enumerate(("lau1_code", "lau2_code", "lau3_code"), 1)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def share_of_area_units(spark, d):
+    """Burned share of districts, municipalities and parishes."""
+    def measure(level):
+        return analysis.share_of_area(star.fires(spark, d), _flat(spark, d), _area_of_units(spark, d, level), level)
+
+    measure.columns = ("burned_percent",)
+    return _round(_of_all_levels(spark, d, measure), burned_percent=4)
+
+
+def density_units(spark, d):
+    """Fires per area of districts, municipalities and parishes."""
+    def measure(level):
+        return analysis.density(star.fires(spark, d), _flat(spark, d), _area_of_units(spark, d, level), level=level)
+
+    measure.columns = ("fires", "fires_per_km2")
+    return _round(_of_all_levels(spark, d, measure), fires_per_km2=6)
+
+
+def _levels_sql(select):
+    return f"WITH {_BASE}\n" + "\nUNION ALL\n".join(
+        f"""SELECT CAST({k} AS INTEGER) AS level, u.code, {select} FROM (SELECT g.lau{k}_code AS code, count(*) AS fires, sum(total_area) AS burned {_FROM} GROUP BY 1) u
+LEFT JOIN (SELECT lau{k}_code AS code, sum(lau3_area) * 1000 AS area FROM geo GROUP BY 1) a ON u.code = a.code""" for k in (1, 2, 3))
+
+
+_SHARE_UNITS_SQL = _levels_sql("round(CASE WHEN area <> 0 THEN burned * 100 / area END, 4) AS burned_percent")
+_DENSITY_UNITS_SQL = _levels_sql("fires, round(CASE WHEN area <> 0 THEN fires * 1e6 / area END, 6) AS fires_per_km2")
+
+
 # --- time ------------------------------------------------------------------------------------
 
 def season_week_counts(spark, d):
@@ -273,10 +314,11 @@ FROM fires JOIN customer ON id_rel_lau = c_custkey GROUP BY year"""
 
 
 def _units(spark, d):
-    """Fires with the number of line items as deployed units and their mean quantity."""
+    """Fires with the number of line items as deployed units and their quantity as staff, by one aggregate of the line items."""
     per = star.table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(
+        F.min("l_shipdate").alias("first_response_ts"), F.max("l_shipdate").alias("extinguishing_ts"),
         F.count(F.lit(1)).alias("units"), F.sum("l_quantity").alias("staff"))
-    return star.timed_fires(spark, d).join(per, F.col("id") == F.col("k"))
+    return star.fires(spark, d).join(per, F.col("id") == F.col("k")).drop("k")
 
 
 _UNITS_SQL = f"""{star.FIRES_SQL}, {star.TIMES_SQL},
@@ -311,6 +353,58 @@ SELECT year, sum(staff) AS staff, round(sum(staff) * 1000 / sum(total_area), 8)
 FROM units WHERE total_area IS NOT NULL GROUP BY year"""
 
 
+def _combined(spark, d):
+    """Line items as deployed units: the return flag is the means, the line status the fuel, discounts of over 5 percent rekindles."""
+    items = star.table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("means"), F.col("l_linestatus").alias("fuel"), (F.col("l_discount") > 0.05).alias("rekindle"))
+    return _exact(star.fires(spark, d)).join(items, F.col("id") == F.col("k")).drop("k")
+
+
+def fires_by_fuel(spark, d):
+    """Fires and mean area by kind of fuel."""
+    fires = _combined(spark, d).select("id", "fuel", "total_area").distinct()
+    out = analysis.band_aggregate(fires, {}, {"fires": F.count(F.lit(1)), "mean_area": F.round(F.avg("total_area"), 6)}, by=["fuel"])
+    return _doubles(out, "mean_area")
+
+
+_COMBINED_SQL = f"""{star.FIRES_SQL},
+combined AS (SELECT id, CAST(total_area AS DECIMAL(18,2)) AS area, l_returnflag AS means, l_linestatus AS fuel, l_discount > 0.05 AS rekindle
+             FROM fires JOIN lineitem ON id = l_orderkey)"""
+
+
+def area_by_units(spark, d):
+    """Mean final area by band of deployed units."""
+    out = analysis.band_aggregate(_exact(_units(spark, d)), {"units_band": analysis.band("units", 2.0)},
+                                  {"fires": F.count(F.lit(1)), "mean_area": F.round(F.avg("total_area"), 6)})
+    return _doubles(out, "mean_area")
+
+
+def rekindles_by_means(spark, d):
+    """Share of deployments that rekindled, by means used."""
+    return _round(analysis.conditional_share(_combined(spark, d), ["means"], F.col("rekindle"), "share"), share=6)
+
+
+def containment_by_combination(spark, d):
+    """Share of small fires by combination of means and fuel."""
+    return _round(analysis.conditional_share(
+        _combined(spark, d).filter("total_area IS NOT NULL"), ["means", "fuel"], F.col("total_area") < 200000, "contained"), contained=6)
+
+
+def spread_before_after(spark, d):
+    """Mean quantity of a fire's line items shipped before, and from, the arrival of its second unit."""
+    items = star.table(spark, d, "lineitem")
+    arrival = items.filter("l_linenumber = 2").groupBy("l_orderkey").agg(F.min("l_shipdate").alias("arrival"))
+    return _round(analysis.rate_before_after(
+        arrival, items, id_column="l_orderkey", at="arrival", key="l_orderkey", ts="l_shipdate", value="l_quantity"), before=4, after=4)
+
+
+_SPREAD_SQL = """
+WITH a AS (SELECT l_orderkey, min(l_shipdate) AS arrival FROM lineitem WHERE l_linenumber = 2 GROUP BY 1)
+SELECT l.l_orderkey, round(avg(l_quantity) FILTER (WHERE l_shipdate < arrival), 4) AS before,
+       round(avg(l_quantity) FILTER (WHERE l_shipdate >= arrival), 4) AS after
+FROM lineitem l JOIN a ON l.l_orderkey = a.l_orderkey GROUP BY 1"""
+
+
 # --- streaming -------------------------------------------------------------------------------
 
 def _event_stream(spark, d):
@@ -352,6 +446,17 @@ QUERIES = {
     "unit_rollup": (unit_rollup, _ROLLUP_SQL),
     "share_of_area": (share_of_area, _SHARE_SQL),
     "density": (density, _DENSITY_SQL),
+    "share_of_area_units": (share_of_area_units, _SHARE_UNITS_SQL),
+    "density_units": (density_units, _DENSITY_UNITS_SQL),
+    "fires_by_fuel": (fires_by_fuel, f"""WITH {_COMBINED_SQL}
+SELECT fuel, count(*) AS fires, round(avg(area), 6) AS mean_area FROM (SELECT DISTINCT id, fuel, area FROM combined) GROUP BY fuel"""),
+    "area_by_units": (area_by_units, f"""WITH {_UNITS_SQL}
+SELECT floor(units / 2) * 2 AS units_band, count(*) AS fires, round(avg(CAST(total_area AS DECIMAL(18,2))), 6) AS mean_area FROM units GROUP BY 1"""),
+    "rekindles_by_means": (rekindles_by_means, f"""WITH {_COMBINED_SQL}
+SELECT means, round(avg(CASE WHEN rekindle THEN 1.0::DOUBLE ELSE 0 END), 6) AS share FROM combined GROUP BY means"""),
+    "containment_by_combination": (containment_by_combination, f"""WITH {_COMBINED_SQL}
+SELECT means, fuel, round(avg(CASE WHEN area < 200000 THEN 1.0::DOUBLE ELSE 0 END), 6) AS contained FROM combined WHERE area IS NOT NULL GROUP BY ALL"""),
+    "spread_before_after": (spread_before_after, _SPREAD_SQL),
     "season_week_counts": (season_week_counts, _SEASON_SQL),
     "mean_area_monthly": (mean_area_monthly, f"""WITH {star.FIRES_SQL}
 SELECT CAST(month(ts) AS INTEGER) AS month, round(avg(CAST(total_area AS DECIMAL(18,2))), 6) AS mean_area FROM fires GROUP BY 1"""),

@@ -101,18 +101,33 @@ def unit_rollup(fact: DataFrame, flat: DataFrame) -> DataFrame:
         level.alias("level"), F.sum("fires").alias("fires"), F.sum("area").alias("burned_area"))
 
 
-def share_of_area(fact: DataFrame, flat: DataFrame, unit_areas: DataFrame) -> DataFrame:
-    """Burned area as a percentage of the district's area; `unit_areas` holds `lau1_code, area`."""
+def share_of_area(fact: DataFrame, flat: DataFrame, unit_areas: DataFrame, level: str = "lau1_code") -> DataFrame:
+    """Burned area as a percentage of the unit's area, at the level of a code column; `unit_areas` holds that code and `area`."""
     parish = _per_parish(fact, {}, {"burned_area": F.sum("total_area")})
-    district = with_geography(parish, flat).groupBy("lau1_code").agg(F.sum("burned_area").alias("burned_area"))
-    return ratio_to_reference(district, unit_areas, "lau1_code", "burned_area", "area", "burned_percent", 100.0)
+    units = with_geography(parish, flat).groupBy(level).agg(F.sum("burned_area").alias("burned_area"))
+    return ratio_to_reference(units, unit_areas, level, "burned_area", "area", "burned_percent", 100.0)
 
 
-def density(fact: DataFrame, flat: DataFrame, unit_areas: DataFrame, m2_per_unit: float = 1e6) -> DataFrame:
-    """Fires per square kilometre of the district."""
+def density(fact: DataFrame, flat: DataFrame, unit_areas: DataFrame, m2_per_unit: float = 1e6, level: str = "lau1_code") -> DataFrame:
+    """Fires per square kilometre of the unit, at the level of a code column."""
     parish = _per_parish(fact, {}, {"fires": F.count(F.lit(1))})
-    district = with_geography(parish, flat).groupBy("lau1_code").agg(F.sum("fires").alias("fires"))
-    return ratio_to_reference(district, unit_areas, "lau1_code", "fires", "area", "fires_per_km2", m2_per_unit)
+    units = with_geography(parish, flat).groupBy(level).agg(F.sum("fires").alias("fires"))
+    return ratio_to_reference(units, unit_areas, level, "fires", "area", "fires_per_km2", m2_per_unit)
+
+
+def rate_before_after(
+    moments: DataFrame, series: DataFrame, *, id_column: str, at: str, key: str, ts: str, value: str
+) -> DataFrame:
+    """`id, before, after`: mean of `value` of an incident's readings before, and from, one moment of it.
+
+    Readings belong to a moment by `key`, so the interval join is an equi-join with both sides of the
+    moment told apart in one aggregate.
+    """
+    readings = series.select(F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.col(value).alias("_value"))
+    joined = moments.select(id_column, F.col(key), F.col(at).alias("_at")).join(readings, F.col(key) == F.col("_key"), "left")
+    return joined.groupBy(id_column).agg(
+        F.avg(F.when(F.col("_ts") < F.col("_at"), F.col("_value"))).alias("before"),
+        F.avg(F.when(F.col("_ts") >= F.col("_at"), F.col("_value"))).alias("after"))
 
 
 # --- fires over time -----------------------------------------------------------------------

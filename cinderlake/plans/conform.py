@@ -113,6 +113,7 @@ def conform(
 
 def _with_ine_fallback(complete: DataFrame, located: DataFrame, parishes: DataFrame) -> DataFrame:
     """`located` plus the occurrences no polygon covers whose statistical code names a parish."""
+    located = staged(located, "located")  # read twice; the spatial join runs once
     found = located.select(F.col("ANO").alias("_year"), F.col("original_id").alias("_id"))
     missed = complete.join(found, (F.col("ANO") == F.col("_year")) & (F.col("original_id") == F.col("_id")), "left_anti")
     units = parishes.select("code", F.lit(None).cast("string").alias("name"), F.lit(3).alias("level")).distinct()
