@@ -8,9 +8,10 @@ the most for which a pair at the threshold is missed with a probability of at mo
 
 Documents with the same set are one class from the start. In each bucket the members are first
 compared with its smallest one, so a bucket of m near copies makes m pairs, not m squared. Only
-buckets that then still hold different components are searched further: their members' signatures
-are compared in blocks of bounded size, and only pairs of different components whose signatures
-agree closely are kept. Every candidate is confirmed on the full sets; nothing is capped.
+buckets that then still hold different components are searched further, in blocks of bounded size:
+members whose signatures agree closely across components stay, and their full sets meet in one task
+that gives a forest of links. Every link is confirmed on the full sets; nothing is capped, and no step
+puts out a row for each pair of a bucket.
 """
 
 from __future__ import annotations
@@ -167,31 +168,82 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "sa", "sb").mapInArrow(confirm, "a long, b long")
 
 
-def unresolved_pairs(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members (band, key, m, rep, n, comp, sketch) of one bucket and different components whose signatures agree closely."""
+BUCKET = ["band", "key", "low", "high"]
+
+
+def candidates(members: DataFrame, percent: int) -> DataFrame:
+    """(band, key, low, high, side, rep, n, comp) of the members that may have a link to look for there.
+
+    `members` holds band, key, m, rep, n, comp, bands, sketch. Buckets are cut into blocks, and a task
+    compares two blocks. A member stays if its signature agrees closely with that of a member of another
+    component, and this is the first bucket that the two share; rows never outnumber the members.
+    """
     least = int((percent / 100 - MARGIN) * 2 * PERMUTATIONS)
 
     def compare(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        left, right = [], []
         rep, comp, n, side = (group.column(c).to_numpy() for c in ("rep", "comp", "n", "side"))
         sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(rep), -1)
+        earlier = np.array(group.column("bands").to_pylist(), np.int64)[:, :key[0].as_py()]
         rows = np.flatnonzero(side == 0)
         # In a block against itself every member is on both sides.
         columns = rows if key[2].as_py() == key[3].as_py() else np.flatnonzero(side == 1)
+        stay = np.zeros(len(rep), bool)
         for i in rows:
             other = columns[(comp[columns] != comp[i]) & (100 * np.minimum(n[columns], n[i]) >= percent * np.maximum(n[columns], n[i]))]
-            if len(other):
-                other = other[(sketch[other] == sketch[i]).sum(1) >= least]
-                left += np.minimum(rep[other], rep[i]).tolist()
-                right += np.maximum(rep[other], rep[i]).tolist()
-        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+            other = other[(sketch[other] == sketch[i]).sum(1) >= least]
+            other = other[~(earlier[other] == earlier[i]).any(1)]
+            stay[other] = True
+            stay[i] |= len(other) > 0
+        kept = group.select(["rep", "n", "comp", "side"]).filter(pa.array(stay))
+        names = dict(zip(BUCKET, key, strict=True))
+        for name in reversed(BUCKET):
+            kept = kept.add_column(0, name, pa.array([names[name].as_py()] * kept.num_rows, names[name].type))
+        return kept
 
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     mine = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-    dealt = mine.select("band", "key", "rep", "comp", "n", "sketch", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    dealt = mine.select("band", "key", "rep", "comp", "n", "bands", "sketch", "block", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     dealt = dealt.select("band", "key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "comp", "n", "sketch")
-    return dealt.groupBy("band", "key", "low", "high").applyInArrow(compare, "a long, b long").distinct()
+                         F.when(F.col("block") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "comp", "n", "bands", "sketch")
+    return dealt.groupBy(*BUCKET).applyInArrow(compare, "band int, key long, low int, high int, rep long, n long, comp long, side int")
+
+
+def links_between(found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links on the full sets between components of the candidates, as a forest for each two blocks.
+
+    Intersections of one set with all others are counted at once, through the sets that hold each shingle.
+    """
+    def link(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        comp, n, side = (group.column(c).to_numpy() for c in ("comp", "n", "side"))
+        flat = np.frombuffer(b"".join(group.column("shingles").to_pylist()), np.uint64)
+        ends = np.cumsum(n)
+        _, shingle, held = np.unique(flat, return_inverse=True, return_counts=True)
+        holder = np.repeat(np.arange(len(n)), n)[np.argsort(shingle, kind="stable")]
+        first = np.cumsum(held) - held
+        column = side == 0 if key[2].as_py() == key[3].as_py() else side == 1
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        left, right = [], []
+        for i in np.flatnonzero(side == 0):
+            own = shingle[ends[i] - n[i]:ends[i]]
+            times = held[own]
+            at = np.repeat(first[own] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+            both = np.bincount(holder[at], minlength=len(n))
+            for j in np.flatnonzero(column & (comp != comp[i]) & (100 * both >= percent * (n + n[i] - both))):
+                x, y = find(int(comp[i])), find(int(comp[j]))
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    left.append(int(comp[i]))
+                    right.append(int(comp[j]))
+        return pa.table({"a": pa.array(left, pa.int64()), "b": pa.array(right, pa.int64())})
+
+    met = found.join(sets.select(F.col("doc_id").alias("rep"), "shingles"), "rep")
+    return met.groupBy(*BUCKET).applyInArrow(link, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,16 +275,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     placed = crowded.join(joined.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("component_id", "rep")).drop("component_id")
     placed = staged(placed, "placed")
     split = placed.groupBy("band", "key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("band", "key")
-    members = placed.join(staged(split, "split-buckets"), ["band", "key"]).join(classes.select("rep", "sketch"), "rep")
-    rest = unresolved_pairs(members.select("band", "key", "m", "rep", "n", "comp", "sketch"), percent)
-    rest = staged(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    more = staged(confirmed(rest, sets, percent), "more-links")
-    # Components found so far are contracted; what the rest adds connects them.
-    lifted = more
-    for side in ("a", "b"):
-        known = joined.select(F.col("id").alias(side), F.col("component_id").alias("c"))
-        lifted = lifted.join(known, side, "left").withColumn(side, F.coalesce("c", side)).drop("c")
-    final = components(lifted.select("a", "b")).select(F.col("id").alias("component_id"), F.col("component_id").alias("whole"))
+    members = placed.join(staged(split, "split-buckets"), ["band", "key"]).join(classes.select("rep", "bands", "sketch"), "rep")
+    found = staged(candidates(members.select("band", "key", "m", "rep", "n", "comp", "bands", "sketch"), percent), "candidates")
+    # Links between the components found so far; what they connect is contracted once more.
+    more = staged(links_between(found, sets, percent), "more-links")
+    final = components(more).select(F.col("id").alias("component_id"), F.col("component_id").alias("whole"))
     of_class = classes.select("d1", "d2", "rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left")
     of_class = of_class.withColumn("component_id", F.coalesce("component_id", "rep")).join(final, "component_id", "left")
     of_class = of_class.select("d1", "d2", F.coalesce("whole", "component_id").alias("component_id"))

@@ -209,10 +209,38 @@ def test_near_duplicates_against_brute_force(spark):
         assert [(found[i]["n_shingles"], found[i]["component_id"], found[i]["kept"]) for i in found] == [(len(sets[i]), label[i], label[i] == i) for i in found]
 
 
-def test_blocks_of_a_bucket_compare_every_pair_once(spark, monkeypatch):
+def test_blocks_of_a_bucket_meet_every_pair_once(spark, monkeypatch):
     monkeypatch.setattr(minmax_dedup, "BLOCK", 3)
-    members = spark.createDataFrame([(0, 0, 10, i, 100, i, bytes(128)) for i in range(10)], "band int, key long, m long, rep long, n long, comp long, sketch binary")
-    assert sorted(map(tuple, minmax_dedup.unresolved_pairs(members, 80).collect())) == [(i, j) for i in range(10) for j in range(i + 1, 10)]
+    rows = [(0, 0, 10, i, 100, i, [7], bytes(128)) for i in range(10)]
+    members = spark.createDataFrame(rows, "band int, key long, m long, rep long, n long, comp long, bands array<long>, sketch binary")
+    met = {}
+    for r in minmax_dedup.candidates(members, 80).collect():
+        met.setdefault((r["low"], r["high"]), ([], []))[r["side"]].append(r["rep"])
+    pairs = [tuple(sorted(p)) for (low, high), (x, y) in met.items() for p in ([(a, b) for a in x for b in x if a < b] if low == high else [(a, b) for a in x for b in y])]
+    assert sorted(pairs) == [(i, j) for i in range(10) for j in range(i + 1, 10)]
+
+
+def test_pairs_of_an_earlier_band_and_of_one_component_are_left_out(spark):
+    rows = [(1, 5, 3, 1, 100, 1, [4, 5], bytes(128)), (1, 5, 3, 2, 100, 2, [4, 5], bytes(128)), (1, 5, 3, 3, 100, 2, [9, 5], bytes(128))]
+    members = spark.createDataFrame(rows, "band int, key long, m long, rep long, n long, comp long, bands array<long>, sketch binary")
+    assert sorted(r["rep"] for r in minmax_dedup.candidates(members, 80).collect()) == [1, 3]
+
+
+def test_links_that_stars_miss_are_found(spark):
+    """Chains of copies, each two words on from the last, whose ends are far apart."""
+    rng = random.Random(7)
+    rows, label = [], {}
+    for chain in range(5):
+        words = [f"c{chain}w{k}" for k in range(150)]
+        ids = []
+        for _ in range(14):
+            rows.append((rng.randrange(10**9), " ".join(words)))
+            ids.append(rows[-1][0])
+            for _ in range(2):
+                words[rng.randrange(150)] = f"n{rng.random()}"
+        label |= {i: min(ids) for i in ids}
+    found = by_id(minmax_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85))
+    assert {i: r["component_id"] for i, r in found.items()} == label
 
 
 @pytest.mark.parametrize("cell,block", [(2_000, 4_096), (7, 5)])
