@@ -438,6 +438,19 @@ def stream_last_writes(spark, d):
         "user_id", "event_type", "event_id", "value")
 
 
+def stream_upsert(spark, d):
+    """Last event per year, user and type, in a table that a stream keeps up to date."""
+    path, mark = scratch_path(spark, "stream-table"), scratch_path(spark, "stream-mark")
+    rows = _event_stream(spark, d).select(F.year("ts").alias("year"), "event_id", "ts", "user_id", "event_type", "value")
+    live.write_upserts(rows, path, mark, ["year", "user_id", "event_type"], ["ts", "event_id"]).awaitTermination()
+    return spark.read.parquet(path).select(F.col("year").cast("int").alias("year"), "user_id", "event_type", "event_id", "value")
+
+
+_STREAM_UPSERT_SQL = """
+SELECT CAST(year(ts) AS INTEGER) AS year, user_id, event_type, event_id, value FROM events
+QUALIFY row_number() OVER (PARTITION BY year(ts), user_id, event_type ORDER BY ts DESC, event_id DESC) = 1"""
+
+
 _STREAM_LAST_SQL = """
 SELECT user_id, event_type, event_id, value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1"""
@@ -479,5 +492,6 @@ SELECT floor(temp_max / 5) * 5 AS band, lau1_code, count(*) AS fires FROM warm G
     "duration_by_units": (duration_by_units, _BY_UNITS_SQL),
     "staff_per_area": (staff_per_area, _STAFF_SQL),
     "stream_hourly_counts": (stream_hourly_counts, _STREAM_SQL),
+    "stream_upsert": (stream_upsert, _STREAM_UPSERT_SQL),
     "stream_last_writes": (stream_last_writes, _STREAM_LAST_SQL),
 }

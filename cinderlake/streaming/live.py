@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from cinderlake.operators.incremental import pick_per_key
+from cinderlake.session import staged
+from cinderlake.sources.sinks import stored_years, write_fact
 
 
 def windowed_counts(stream: DataFrame, ts: str, width: str, late: str, by: list[str] = ()) -> DataFrame:
@@ -61,3 +64,31 @@ def write_arrivals(stream: DataFrame, path: str, checkpoint: str) -> StreamingQu
 def current_rows(arrivals: DataFrame, keys: list[str], tie: list[str]) -> DataFrame:
     """Last write per key over all arrivals."""
     return pick_per_key(arrivals, keys, ["ingest_seq", *tie])
+
+
+def write_upserts(
+    stream: DataFrame, path: str, checkpoint: str, keys: list[str], order: list[str], year: str = "year"
+) -> StreamingQuery:
+    """Each micro-batch merged into a year-partitioned table, the last row per key by `order` staying.
+
+    Only the years of the batch are read and written, and the keys include the year. A batch that is
+    run again after a failure changes nothing.
+    """
+    def store(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = staged(pick_per_key(batch, keys, order), "upsert")
+        years = sorted(stored_years(fresh, year))
+        if not years:
+            return
+        try:
+            touched = spark.read.schema(fresh.schema).parquet(path).filter(F.col(year).isin(years)).select(*fresh.columns)
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            touched = fresh.limit(0)
+        write_fact(staged(pick_per_key(touched.unionByName(fresh), keys, order), "merged"), path, year, tuple(keys))
+
+    return (
+        stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )

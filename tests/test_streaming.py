@@ -56,3 +56,15 @@ def test_windowed_counts_with_watermark(spark):
     q.awaitTermination()
     got = sorted((r["start"].hour, r["count"]) for r in spark.sql("SELECT * FROM live_counts").collect())
     assert got == [(1, 2), (4, 2)]
+
+
+def test_upserts_keep_the_last_row_over_batches(spark, tmp_path, rows):
+    source, schema = tmp_path / "in", "year int, k string, seq int, v string"
+    source.mkdir()
+    table = scratch_path(spark, "test-upsert")
+    mark = scratch_path(spark, "test-upsert-mark")
+    for part in ([(2001, "a", 1, "old"), (2002, "b", 1, "x")], [(2001, "a", 2, "new"), (2001, "a", 0, "late"), (2003, "c", 1, "y")]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(source / "t"))
+        stream = spark.readStream.schema(schema).parquet(str(source / "t"))
+        live.write_upserts(stream, table, mark, ["year", "k"], ["seq"]).awaitTermination()
+    assert rows(spark.read.parquet(table), "year", "k", "v") == [(2001, "a", "new"), (2002, "b", "x"), (2003, "c", "y")]
