@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cinderlake import schema
 from cinderlake.functions.parsing import on_or_after
 from cinderlake.operators.filters import FilterChain, default_chain
-from cinderlake.operators.incremental import last_write_wins, window_start
+from cinderlake.operators.incremental import landed_periods, last_write_wins, window_start
 from cinderlake.operators.weather import incident_spans, weather_detail, weather_summary
 from cinderlake.plans import conform
 from cinderlake.session import staged
@@ -47,10 +47,12 @@ def typed_from_files(spark: SparkSession, source: str, start: dt.date | None = N
     The file written last wins on equal ids, the remaining columns break ties.
     """
     text = read_pipe_csv(spark, source, pattern=pattern, recursive=recursive, ingest_column="ingest_seq", na_tokens=False)
+    # staged: the text is read and cast once for good rows and bad ones
     typed = typed_occurrences(text)
     if start is not None:
         # a row without a whole date stays, so that it is rejected and not lost
         typed = typed.filter(F.coalesce(on_or_after(F.col("ANO"), F.col("MES"), F.col("DIA"), start), F.lit(True)) | (F.size("bad_columns") > 0))
+    typed = staged(typed, "typed-text")
     good = accepted(typed)
     rest = [c for c in good.columns if c not in ("ANO", "original_id", "ingest_seq")]
     return last_write_wins(good, order=("ingest_seq", *rest)), quarantined(typed)
@@ -90,12 +92,30 @@ def build_fact(
         if new_years:
             write_fact(merged, f"{root}/fire")
         remove_years(spark, f"{root}/fire", old_years - new_years)
-    bad.write.mode("overwrite").parquet(f"{root}/quarantine")
-    done.rejected.write.mode("overwrite").parquet(f"{root}/rejected")
+    _write_left_out(bad, f"{root}/quarantine", start)
+    _write_left_out(done.rejected, f"{root}/rejected", start)
     for name, frame in done.dimensions.items():  # staged, so not read from what is overwritten
         frame.coalesce(1).write.mode("overwrite").parquet(f"{root}/ref/{name}")
 
 
-def refresh_fact(spark: SparkSession, source: str, parishes: DataFrame, warehouse: str, today: dt.date, schedule: str = "daily", **options) -> None:
-    """`build_fact` over the trailing window of a daily, weekly or monthly refresh."""
-    build_fact(spark, source, parishes, warehouse, start=window_start(today, REFRESH_DAYS[schedule]), **options)
+def _write_left_out(df: DataFrame, path: str, start: dt.date | None) -> None:
+    """Rows that did not become facts, under the load that found them; a full load starts anew."""
+    load = "full" if start is None else start.isoformat()
+    df.withColumn("load", F.lit(load)).write.mode("overwrite").partitionBy("load").option(
+        "partitionOverwriteMode", "static" if start is None else "dynamic").parquet(path)
+
+
+def refresh_fact(
+    spark: SparkSession, source: str, parishes: DataFrame, warehouse: str, today: dt.date, schedule: str = "daily",
+    landed: str = "{year}*.csv", **options,
+) -> None:
+    """`build_fact` over the trailing window of a daily, weekly or monthly refresh.
+
+    Only files of the years that the landed pulls of the window belong to are read; `landed` is the
+    pattern of a year's files. A `pattern` among the options is used as it is.
+    """
+    days = REFRESH_DAYS[schedule]
+    start = window_start(today, days)
+    years = sorted({start.year, *(y for y, _, _ in landed_periods(today, days))})
+    options.setdefault("pattern", "{" + ",".join(landed.format(year=y) for y in years) + "}")
+    build_fact(spark, source, parishes, warehouse, start=start, **options)

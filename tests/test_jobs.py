@@ -88,7 +88,21 @@ def test_undated_rows_are_rejected_in_every_mode(spark, tmp_path, rows):
     for start in (None, dt.date(2002, 1, 1)):
         jobs.build_fact(spark, str(source), parishes, store, start=start, cell=0.5)
         assert rows(spark.read.parquet(f"{store}/fire"), "original_id") == [("a",)]
-        assert rows(spark.read.parquet(f"{store}/rejected"), "original_id") == [("b",)]
+    # kept under each load that met them
+    assert rows(spark.read.parquet(f"{store}/rejected"), "original_id", "load") == [("b", "2002-01-01"), ("b", "full")]
+
+
+def test_a_refresh_reads_the_files_of_its_years_only(spark, tmp_path, rows):
+    parishes = spark.createDataFrame(PARISHES, f"code string, rings {RINGS}")
+    source, store = tmp_path / "in", scratch_path(spark, "test-years")
+    source.mkdir()
+    write_year(source, 2001, dict(id="a"))
+    write_year(source, 2002, dict(id="b", MES="7", DIA="20"))
+    jobs.build_fact(spark, str(source), parishes, store, cell=0.5)
+    (source / "2001.csv").write_text("not|a|table\n1|2|3\n")
+    write_year(source, 2002, dict(id="b", MES="7", DIA="20", LOCAL="seen again"))
+    jobs.refresh_fact(spark, str(source), parishes, store, dt.date(2002, 8, 1), "weekly", cell=0.5)
+    assert rows(spark.read.parquet(f"{store}/fire"), "original_id", "locality", "year") == [("a", None, 2001), ("b", "seen again", 2002)]
 
 
 def test_a_fire_that_moves_into_the_window_is_kept_once(spark, tmp_path, rows):
