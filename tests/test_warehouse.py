@@ -72,7 +72,7 @@ def test_statistical_code_as_fallback(spark, rows):
 
 
 def test_incomplete_occurrences_are_handed_back(conformed, rows):
-    assert rows(conformed.rejected, "original_id") == [("no type",)]  # 31 February is no date, so not in the window
+    assert rows(conformed.rejected, "original_id") == [("bad day",), ("no type",)]  # 31 February is no date
 
 
 def test_dimensions(conformed, rows):
