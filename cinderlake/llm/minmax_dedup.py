@@ -67,7 +67,7 @@ class Shingler:
     """Sets of hashed word shingles; words are separated by 0x20 and 0x09 to 0x0D, A-Z are lower-cased."""
 
     def __init__(self, words: int):
-        self.words, self.hash = words, Memo(_word_hash, 300_000)
+        self.words, self.hash = words, Memo(_word_hash, 150_000)
 
     def set_of(self, text: str) -> np.ndarray:
         """Sorted distinct 64-bit hashes of the shingles; of all words as one, when there are fewer than a shingle has."""

@@ -62,7 +62,7 @@ class Chain:
 
     def prepare(self) -> None:
         """What a worker needs beside the parameters."""
-        self.emission = Memo(lambda w: sum(self.weights.get(f, 0.0) for f in features(w)))
+        self.emission = Memo(lambda w: sum(self.weights.get(f, 0.0) for f in features(w)), 150_000)
         move = np.exp(self.moves)
         self.step = move.tolist()
         plain = move * np.array([1.0, math.exp(self.bias)])
