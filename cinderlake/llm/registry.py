@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from cinderlake.llm import bpe, exact_dedup, license_scan, line_dedup, metric_join, minmax_dedup, packing, secret_scan, spelling, token_counts, toxicity
+from cinderlake.llm import bpe, centroids, exact_dedup, language, license_scan, line_dedup, metric_join, minmax_dedup, packing, secret_scan, spelling, token_counts, toxicity
 from cinderlake.llm.shipping import ship
 
-MODULES = (token_counts, metric_join, minmax_dedup, license_scan, toxicity, line_dedup, bpe, exact_dedup, packing, secret_scan, spelling)
+MODULES = (token_counts, metric_join, minmax_dedup, license_scan, toxicity, line_dedup, bpe, exact_dedup, packing, secret_scan, spelling, centroids, language)
 
 
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
