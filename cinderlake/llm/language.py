@@ -19,12 +19,13 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cinderlake.llm.shipping import ship
 from cinderlake.llm.tables import table, table_rows
+from cinderlake.session import staged
 
 BUCKET_BITS = 15
 LENGTHS = 4
@@ -151,25 +152,27 @@ def fold(doc_id: str) -> Column:
 
 
 def sample_of(labelled: DataFrame, per_language: int) -> DataFrame:
-    """At most `per_language` rows (lang, text) of each language, those of the lowest id hash."""
-    order = Window.partitionBy("lang").orderBy("at", "doc_id")
-    ids = labelled.select("lang", "doc_id", F.xxhash64(F.lit(3), "doc_id").alias("at"))
-    chosen = ids.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language).select("lang", "doc_id").distinct()
-    return labelled.join(chosen, ["lang", "doc_id"], "left_semi").select("lang", "text")
+    """About `per_language` rows (lang, text) of each language: the ids whose hash is below a share that its number of rows gives.
+
+    Texts are not shuffled; one row per language is broadcast.
+    """
+    sizes = labelled.groupBy("lang").agg(F.least(F.lit(float(per_language)) / F.count(F.lit(1)), F.lit(1.0)).alias("share"))
+    at = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    return labelled.join(F.broadcast(sizes), "lang").where(at < F.col("share")).select("lang", "text")
 
 
 def train(docs: DataFrame, per_language: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """A model of the languages of the labelled rows of `docs`, all of which are learned from.
 
-    The documented bound: of each language the `per_language` ids of lowest hash are sampled, all rows
-    of an id with them. Rows without an id, a language or a text teach nothing; a language all of whose sampled
+    The documented bound: of a language with more rows than `per_language`, about so many are sampled, by
+    the hash of their id. Rows without an id, a language or a text teach nothing; a language all of whose sampled
     texts have no letters is a language nevertheless. Repeated rows count each. Without labelled rows
     the model has no languages.
     """
     ship(docs.sparkSession)
     labelled = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(
         "doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
-    sample = sample_of(labelled, per_language)
+    sample = staged(sample_of(labelled, per_language), "language-sample")
     width = 1 << BUCKET_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
