@@ -36,6 +36,8 @@ BLOCK = 2048
 # over 5 standard deviations of 128 values.
 MARGIN = 0.2
 GROUP = 1_000_000
+# 64-bit words of the filter that marks the documents whose full sets are wanted.
+MARK_WORDS = 1 << 20
 
 _RNG = np.random.default_rng(20240503)
 _A = _RNG.integers(0, 2**64, PERMUTATIONS, np.uint64) | np.uint64(1)
@@ -138,18 +140,61 @@ def signed(docs: DataFrame, words: int, similarity: float) -> DataFrame:
     return docs.mapInArrow(sign, SIGNED)
 
 
-def full_sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id and the whole set as bytes, of `docs` (doc_id, text)."""
+def mark_places(ids: np.ndarray) -> np.ndarray:
+    """Two bit places in the filter for each id, a row each."""
+    first = mixed(ids.astype(np.int64).view(np.uint64) ^ np.uint64(0x9E3779B97F4A7C15))
+    return np.stack([first, mixed(first)]) % np.uint64(64 * MARK_WORDS)
+
+
+def marks(wanted: DataFrame) -> np.ndarray:
+    """A Bloom filter of the wanted doc_id. Its size is fixed; with very many ids it only lets more of the others through."""
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.unique(mark_places(batch.column(0).to_numpy()).ravel())
+            word, bit = (at >> np.uint64(6)).astype(np.int32), np.uint64(1) << (at & np.uint64(63))
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit.view(np.int64))], ["word", "bits"])
+
+    rows = wanted.select("doc_id").mapInArrow(places, "word int, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most MARK_WORDS rows
+    words = np.zeros(MARK_WORDS, np.uint64)
+    words[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return words
+
+
+def full_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """doc_id and the whole set as bytes, of all wanted documents of `docs` (doc_id, text) and perhaps a few others.
+
+    Texts are not shuffled: a filter of fixed size picks the wanted ones where they are read.
+    """
+    spark = docs.sparkSession
+    filled = spark.sparkContext.broadcast(marks(wanted))
+
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
+        shingler, marked = Shingler(words), filled.value
         for batch in batches:
-            rows = [(i, shingler.set_of(t).tobytes()) for i, t in table_rows([batch], "doc_id", "text")]
+            batch = batch.filter(batch.column(0).is_valid())
+            at = mark_places(batch.column(0).to_numpy())
+            picked = ((marked[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).all(0)
+            rows = [(i, shingler.set_of(t).tobytes()) for i, t in table_rows([batch.filter(pa.array(picked))], "doc_id", "text")]
             ids, sets = zip(*rows, strict=True) if rows else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
 
     return docs.mapInArrow(make, "doc_id long, shingles binary")
 
 
+def agreeing(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose signatures agree closely enough for a link."""
+    least = int((percent / 100 - MARGIN) * 2 * PERMUTATIONS)
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in (2, 3))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= least))
+
+    met = pairs.join(classes.select(F.col("rep").alias("b"), F.col("sketch").alias("sb")), "b")
+    met = met.join(classes.select(F.col("rep").alias("a"), F.col("sketch").alias("sa")), "a")
+    return met.select("a", "b", "sa", "sb").mapInArrow(agree, "a long, b long")
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have 100 * intersection >= percent * union."""
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,9 +311,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     crowded = staged(places.join(staged(buckets, "buckets"), ["band", "key"]), "crowded")
     stars = crowded.where((F.col("rep") != F.col("center")) & (100 * F.least("n", "center_n") >= percent * F.greatest("n", "center_n")))
     stars = staged(stars.select(F.col("center").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
+    stars = staged(agreeing(stars, classes, percent), "agreeing-stars")
 
     wanted = crowded.select(F.col("rep").alias("doc_id")).distinct()
-    sets = staged(full_sets(text.join(wanted, "doc_id", "left_semi"), words).dropDuplicates(["doc_id"]), "sets")
+    sets = staged(full_sets(text, wanted, words).dropDuplicates(["doc_id"]), "sets")
     edges = staged(confirmed(stars, sets, percent), "star-links")
     joined = components(edges)
 
