@@ -6,7 +6,7 @@ from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinderlake import schema
@@ -35,6 +35,11 @@ def read_occurrence_xml(spark: SparkSession, path: str | list[str], row_tag: str
     return raw.select(*cells).filter(any_value)
 
 
+def plain_name(name: Column) -> Column:
+    """A file's name as it was written; names in Spark's file metadata are percent-encoded, with `+` as itself."""
+    return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+
 def find_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = False) -> DataFrame:
     """`source_file, path, modified` of the matching files, sorted by name; no such folder gives no rows."""
     reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern) \
@@ -125,7 +130,7 @@ def _quoted(name: str) -> str:
 
 
 def _with_file_tags(raw: DataFrame, tags: list[str]) -> DataFrame:
-    values = [F.col("_metadata.file_name"), F.unix_micros("_metadata.file_modification_time")]
+    values = [plain_name(F.col("_metadata.file_name")), F.unix_micros("_metadata.file_modification_time")]
     return raw.select("*", *[v.alias(n) for v, n in zip(values, tags)])
 
 

@@ -126,3 +126,13 @@ def test_each_file_is_read_by_its_own_header(spark, tmp_path):
     assert rows.columns == ["id", "LAT", "LON", "OBS", "source_file"]
     assert sorted(tuple(r) for r in rows.collect()) == [
         ("1", "x", "y", None, "a.csv"), ("2", "x2", "y2", None, "b.csv"), ("3", None, None, "água", "c d.csv")]
+
+
+def test_odd_file_names_stay_as_they_are(spark, tmp_path):
+    names = ["c d.csv", "a%20b.csv", "ç+e.csv", "p%q.csv"]
+    for n, name in enumerate(names):
+        (tmp_path / name).write_text(f"id|X\n{n}|x\n")
+    rows = occ.read_pipe_csv(spark, str(tmp_path)).select("id", "source_file").collect()
+    assert sorted(map(tuple, rows)) == [(str(n), name) for n, name in enumerate(names)]
+    found = [r["source_file"] for r in occ.find_files(spark, str(tmp_path), "*.csv").collect()]
+    assert found == sorted(names)
