@@ -95,15 +95,15 @@ def codewords(languages: int) -> np.ndarray:
     rng, best, apart = np.random.default_rng(languages), None, -1
     bits = math.ceil(10 * math.log2(languages))
     for _ in range(200):
-        # Half of the languages on either side, so that a bit's classifier has enough of both.
-        sides = np.where(np.arange(languages) < languages // 2, 1, -1)
-        code = np.stack([rng.permutation(sides) for _ in range(bits)], axis=1)
+        # Half of the languages on either side, so that a bit's classifier has enough of both; no column or its reverse twice.
+        sides, columns = np.where(np.arange(languages) < languages // 2, 1, -1), set()
+        while len(columns) < bits:
+            column = rng.permutation(sides)
+            columns.add(tuple((column * column[0]).tolist()))
+        code = np.array(sorted(columns)).T
         agree = code @ code.T - 2 * bits * np.eye(languages, dtype=int)
-        between = code.T @ code - bits * languages * np.eye(bits, dtype=int)
-        if abs(between).max(initial=0, where=~np.eye(bits, dtype=bool)) < languages and bits - agree.max() > apart:
+        if bits - agree.max() > apart:
             best, apart = code, bits - agree.max()
-    if best is None:
-        raise ValueError("no code was found")
     return best.astype(float)
 
 
