@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from cinderlake.functions import geometry as g
 from cinderlake.session import staged
 
+# Edges for which a shape's grid has one cell.
+PER_CELL = 8
 # More pieces than this in one cell halve the width of the shape's grid, at most so many times.
 CROWDED = 48
 HALVINGS = 6
@@ -43,14 +45,14 @@ def directed_edges(parts: DataFrame, key: str = "fire_id", rings: str = "rings")
 
 
 def grid_widths(edges: DataFrame, keys: list[str]) -> DataFrame:
-    """`keys, width`: a power of two for which about as many cells as edges cover each shape."""
+    """`keys, width`: a power of two for which about a cell for every `PER_CELL` edges covers each shape."""
     low, high = ({c: f(F.col(f"{c}1"), F.col(f"{c}2")) for c in "xy"} for f in (F.least, F.greatest))
     extent = edges.groupBy(*keys).agg(
         *[F.min(low[c]).alias(f"{c}_low") for c in "xy"], *[F.max(high[c]).alias(f"{c}_high") for c in "xy"], F.count(F.lit(1)).alias("edges"))
     wide = F.greatest(F.col("x_high") - F.col("x_low"), F.col("y_high") - F.col("y_low"))
     # Not so fine that a cell's number is no longer exact.
     reach = F.greatest(*[F.abs(f"{c}_{e}") for c in "xy" for e in ("low", "high")])
-    wanted = F.greatest(wide / F.ceil(F.sqrt("edges")), reach / F.lit(2.0**40))
+    wanted = F.greatest(wide / F.ceil(F.sqrt(F.col("edges") / PER_CELL)), reach / F.lit(2.0**40))
     return extent.select(*keys, F.pow(F.lit(2.0), F.ceil(F.log2(wanted))).alias("width"))
 
 
@@ -91,14 +93,16 @@ def fitted_pieces(edges: DataFrame, key: str) -> DataFrame:
     """`cut_edges` at widths for which no cell is crowded, as far as `HALVINGS` allow."""
     edges = staged(edges, "overlay-edges")
     widths = staged(grid_widths(edges, [key]), "overlay-widths")
-    for _ in range(HALVINGS):
-        cells = cut_edges(edges, widths, [key]).groupBy(key, "cx", "cy").agg(F.count(F.lit(1)).alias("pieces"))
-        crowded = cells.filter(F.col("pieces") > CROWDED).select(key).distinct().withColumn("crowded", F.lit(True))
-        halved = staged(widths.join(crowded, key, "left"), "overlay-widths")
-        if halved.filter("crowded").isEmpty():
-            break
-        widths = halved.select(key, F.when(F.col("crowded"), F.col("width") / 2).otherwise(F.col("width")).alias("width"))
-    return staged(cut_edges(edges, widths, [key]), "overlay-pieces")
+    tries = 0
+    while True:
+        pieces = staged(cut_edges(edges, widths, [key]), "overlay-pieces")
+        cells = pieces.groupBy(key, "cx", "cy").agg(F.count(F.lit(1)).alias("pieces"))
+        crowded = staged(cells.filter(F.col("pieces") > CROWDED).select(key).distinct().withColumn("crowded", F.lit(True)), "overlay-crowded")
+        if tries == HALVINGS or crowded.isEmpty():
+            return pieces
+        tries += 1
+        halved = widths.join(crowded, key, "left")
+        widths = staged(halved.select(key, F.when(F.col("crowded"), F.col("width") / 2).otherwise(F.col("width")).alias("width")), "overlay-widths")
 
 
 def _covered(cell: dict[str, Column]) -> Column:
@@ -182,11 +186,12 @@ def ring_faults(parts: DataFrame, keys: list[str], rings: str = "rings", grid: f
     whole = F.transform(F.col(rings), lambda r: F.transform(r, lambda v: F.struct(
         F.round(v["x"] / grid).cast("bigint").alias("x"), F.round(v["y"] / grid).cast("bigint").alias("y"))))
     snapped = staged(parts.select(*keys, F.explode(F.array(whole)).alias("rings")), "snapped-rings")
-    doubled = F.transform("rings", lambda r: F.transform(r, lambda v: F.struct(v["x"].cast("double").alias("x"), v["y"].cast("double").alias("y"))))
+    # Seen from a ring's first point numbers stay small.
+    doubled = F.transform("rings", lambda r: F.transform(r, lambda v: F.struct(
+        (v["x"] - r[0]["x"]).cast("double").alias("x"), (v["y"] - r[0]["y"]).cast("double").alias("y"))))
     flat = F.exists(doubled, lambda r: g.signed_area(r) == 0)
-    simple = snapped.select(*keys, F.when(~F.coalesce(g.closed_rings("rings"), F.lit(False)), "open").when(flat, "flat").alias("fault"))
-    sound = snapped.join(simple.filter("fault IS NULL").drop("fault"), keys, "left_semi")
-    ring = sound.select(*keys, F.posexplode("rings").alias("ring", "points"))
+    judged = snapped.withColumn("fault", F.when(~F.coalesce(g.closed_rings("rings"), F.lit(False)), "open").when(flat, "flat"))
+    ring = judged.filter("fault IS NULL").select(*keys, F.posexplode("rings").alias("ring", "points"))
     # A point that repeats the one before it makes no edge.
     edges = ring.select(*keys, "ring", F.posexplode(F.filter(g.ring_edges(F.col("points")), lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))).alias("edge", "e"),
                         F.size(F.filter(g.ring_edges(F.col("points")), lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))).alias("of"))
@@ -213,18 +218,31 @@ def ring_faults(parts: DataFrame, keys: list[str], rings: str = "rings", grid: f
         """On which side of edge `p` the end `at` of edge `of` lies."""
         x1, y1, x2, y2 = (F.col(f"{p}._{c}") for c in ends)
         x, y = F.col(f"{of}._x{at}"), F.col(f"{of}._y{at}")
-        return F.signum((x2 - x1).cast("decimal(19,0)") * (y - y1).cast("decimal(19,0)") - (y2 - y1).cast("decimal(19,0)") * (x - x1).cast("decimal(19,0)"))
 
-    def lies_on(p: str, of: str, at: int) -> Column:
+        def side(kind: str) -> Column:
+            left, right = (x2 - x1).cast(kind) * (y - y1).cast(kind), (y2 - y1).cast(kind) * (x - x1).cast(kind)
+            return F.when(left > right, 1).when(left < right, -1).otherwise(0)
+
+        # Below 2**30 the products fit a long; beyond, decimals hold them.
+        return F.when(F.greatest(*[F.abs(c) for c in (x1, y1, x2, y2, x, y)]) < 1 << 30, side("bigint")).otherwise(side("decimal(19,0)"))
+
+    def within(p: str, of: str, at: int) -> Column:
         x, y = F.col(f"{of}._x{at}"), F.col(f"{of}._y{at}")
-        within = [x.between(F.least(f"{p}._x1", f"{p}._x2"), F.greatest(f"{p}._x1", f"{p}._x2")), y.between(F.least(f"{p}._y1", f"{p}._y2"), F.greatest(f"{p}._y1", f"{p}._y2"))]
-        return (turn(p, of, at) == 0) & within[0] & within[1]
+        return x.between(F.least(f"{p}._x1", f"{p}._x2"), F.greatest(f"{p}._x1", f"{p}._x2")) & y.between(F.least(f"{p}._y1", f"{p}._y2"), F.greatest(f"{p}._y1", f"{p}._y2"))
+
+    cases = [("a", "b", 1), ("a", "b", 2), ("b", "a", 1), ("b", "a", 2)]
+    # A one-element explode: the sides are computed once and not again in every later use.
+    facts = F.struct(*[turn(*c).alias("".join(map(str, c))) for c in cases], *[within(*c).alias("w" + "".join(map(str, c))) for c in cases])
+    met = met.select(*[F.col(f"a.{c}").alias(c) for c in keys], (F.col("a.ring") == F.col("b.ring")).alias("same"), F.col("a.edge").alias("edge"),
+                     F.col("b.edge").alias("other"), F.col("a.of").alias("of"), F.explode(F.array(facts)).alias("t"))
+
+    def lies_on(name: str) -> Column:
+        return (F.col(f"t.{name}") == 0) & F.col(f"t.w{name}")
 
-    crossing = (turn("a", "b", 1) * turn("a", "b", 2) < 0) & (turn("b", "a", 1) * turn("b", "a", 2) < 0)
-    follows = (F.col("b.edge") == F.col("a.edge") + 1)
-    closes = (F.col("a.edge") == 0) & (F.col("b.edge") == F.col("a.of") - 1)
-    touching = lies_on("a", "b", 1) | lies_on("a", "b", 2) | lies_on("b", "a", 1) | lies_on("b", "a", 2)
+    crossing = (F.col("t.ab1") * F.col("t.ab2") < 0) & (F.col("t.ba1") * F.col("t.ba2") < 0)
+    follows, closes = F.col("other") == F.col("edge") + 1, (F.col("edge") == 0) & (F.col("other") == F.col("of") - 1)
     # Edges that follow each other share a point; they must not lie on each other.
-    folded = F.when(follows, lies_on("a", "b", 2) | lies_on("b", "a", 1)).when(closes, lies_on("a", "b", 1) | lies_on("b", "a", 2)).otherwise(touching)
-    bad = met.filter(crossing | ((F.col("a.ring") == F.col("b.ring")) & folded)).select(*[F.col(f"a.{c}").alias(c) for c in keys]).distinct()
-    return simple.filter("fault IS NOT NULL").unionByName(bad.withColumn("fault", F.lit("crossing")))
+    folded = F.when(follows, lies_on("ab2") | lies_on("ba1")).when(closes, lies_on("ab1") | lies_on("ba2")).otherwise(
+        lies_on("ab1") | lies_on("ab2") | lies_on("ba1") | lies_on("ba2"))
+    bad = met.filter(crossing | (F.col("same") & folded)).select(*keys).distinct()
+    return judged.filter("fault IS NOT NULL").select(*keys, "fault").unionByName(bad.withColumn("fault", F.lit("crossing")))
