@@ -82,6 +82,8 @@ def build_fact(
     dims = {n: _table(spark, f"{root}/ref/{n}", "id int, raw_name string, code string") for n in schema.CODE_TABLES}
     done = conform.conform(staged(good, "typed"), parishes, dims, start=start, cell=cell, use_ine=use_ine)
     fresh = staged(done.fact, "fact")
+    # Dimensions only grow and go first: facts of a job that dies later never hold ids that no dimension has.
+    _grow_dimensions(dims, done.dimensions, f"{root}/ref")
     if start is None:
         write_fact(fresh, f"{root}/fire", replace_all=True)
     else:
@@ -94,8 +96,24 @@ def build_fact(
         remove_years(spark, f"{root}/fire", old_years - new_years)
     _write_left_out(bad, f"{root}/quarantine", start)
     _write_left_out(done.rejected, f"{root}/rejected", start)
-    for name, frame in done.dimensions.items():  # staged, so not read from what is overwritten
-        frame.coalesce(1).write.mode("overwrite").parquet(f"{root}/ref/{name}")
+
+
+def _grow_dimensions(stored: dict[str, DataFrame], grown: dict[str, DataFrame], path: str) -> None:
+    """Append the members that are not stored yet; a table is written anew only where a stored member has another code.
+
+    Appending keeps all stored members whenever the job dies.
+    """
+    for name, frame in grown.items():
+        frame = staged(frame.select("id", "raw_name", "code"), "dimension")
+        old = stored[name].select(F.col("id").alias("_id"), F.col("code").alias("_code"))
+        known = frame.join(old, F.col("id") == F.col("_id"), "left")
+        if not known.filter(F.col("_id").isNotNull() & ~F.col("code").eqNullSafe(F.col("_code"))).isEmpty():
+            frame.coalesce(1).write.mode("overwrite").parquet(f"{path}/{name}")
+            continue
+        new = known.filter(F.col("_id").isNull()).select(frame.columns).coalesce(1)
+        # The first load writes a table even if it has no members.
+        if stored[name].isEmpty() or not new.isEmpty():
+            new.write.mode("append").parquet(f"{path}/{name}")
 
 
 def _write_left_out(df: DataFrame, path: str, start: dt.date | None) -> None:
