@@ -14,21 +14,27 @@ from cinderlake.session import staged
 def usable_parts(parts: DataFrame, grid: float = 1e-5) -> DataFrame:
     """Parts `fire_id, part, rings` snapped to the grid, without those that are no valid polygon.
 
-    Rows that share a fire and a part number are judged by their own rings.
+    Rows that share a fire and a part number are judged by their own rings. The parts are staged.
     """
     keys = ["fire_id", "part", "_rings"]
     named = parts.select("fire_id", "part", F.xxhash64("rings").alias("_rings"), "rings")
-    faults = overlay.ring_faults(named, keys, grid=grid).select(*[F.col(k).alias(f"_{k}") for k in keys])
+    judged = overlay.judged_parts(named, keys, grid=grid).filter("_fault IS NULL").select(*named.columns, "_judged")
+    judged = staged(judged, "judged-parts")
+    out = ["fire_id", "part", g.snap_rings("rings", grid).alias("rings")]
+    usable, large = judged.filter("_judged").select(*out), judged.filter("NOT _judged").drop("_judged")
+    if large.isEmpty():
+        return usable
+    faults = overlay.ring_faults(large, keys, grid=grid).select(*[F.col(k).alias(f"_{k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-    return named.join(faults, same, "left_anti").select("fire_id", "part", g.snap_rings("rings", grid).alias("rings"))
+    return usable.unionByName(staged(large.join(faults, same, "left_anti").select(*out), "large-parts"))
 
 
 def attach_united(fact: DataFrame, parts: DataFrame, key: str = "id") -> DataFrame:
     """The fact with `perimeter_parts` and `perimeter_area` of the union of its usable parts; NULL without any.
 
-    What parts of one fire share counts once. No fire's parts are gathered in one row.
+    What parts of one fire share counts once. Only the parts of a fire of few edges are gathered in one row.
     """
-    usable = staged(usable_parts(parts), "usable-parts")
+    usable = usable_parts(parts)
     counts = usable.groupBy(F.col("fire_id").alias("_fire")).agg(F.count(F.lit(1)).alias("perimeter_parts"))
     areas = overlay.union_areas(usable).select(F.col("fire_id").alias("_of"), F.col("area").alias("perimeter_area"))
     found = counts.join(areas, F.col("_fire") == F.col("_of"), "left").drop("_of")

@@ -131,3 +131,30 @@ def test_outlines(spark):
     assert {u: sorted(v) for u, v in found.items()} == {
         "ring": [(-1.0, 5), (9.0, 13)], "touch": [(1.0, 5), (1.0, 5)], "two": [(1.0, 5), (2.0, 7)], "gaps": [(-2.0, 9), (16.0, 17)], "long": [(300.0, 603)]}
     assert outlines.unit_outlines(frame.limit(0), "code").count() == 0
+
+
+def test_small_shapes_need_no_grid(spark, monkeypatch):
+    """Cell by cell gives the same as in one row, and is not used for shapes of few edges."""
+    rng = random.Random(5)
+    rows = [(f, n, rings) for f in range(12) for n, rings in enumerate(invented_parts(rng, f % 2 == 0)[:5])]
+    hole = closed((0, 0), (4, 0), (4, 4), (0, 4))
+    rows += [(None, 1, [hole]), (20, 1, [hole, hole])]
+    parts = spark.createDataFrame(rows, f"fire_id long, part int, rings {RINGS}")
+    cells = {r["fire_id"]: r["area"] for r in overlay._grid_unions(parts, "fire_id").collect()}
+    named = spark.createDataFrame([(name, rings) for name, (rings, _) in FAULTS.items() if name != "far"], f"name string, rings {RINGS}")
+
+    def grid(*_):
+        raise AssertionError("cut at a grid")
+
+    monkeypatch.setattr(overlay, "cut_edges", grid)
+    found = {r["fire_id"]: r["area"] for r in overlay.union_areas(parts).collect()}
+    assert found == {fire: pytest.approx(area, rel=1e-9) for fire, area in cells.items()} and 20 not in found
+    faults = {r["name"]: r["fault"] for r in overlay.ring_faults(named, ["name"]).collect()}
+    assert faults == {name: fault for name, (_, fault) in FAULTS.items() if fault and name != "far"}
+
+
+def test_stars_and_rounds(spark):
+    star = [(math.cos(2.4 * math.pi * k / 3), math.sin(2.4 * math.pi * k / 3)) for k in range(5)]
+    shapes = {"star": [closed(*star)], "round": [closed(*[(9 * math.cos(k), 9 * math.sin(k)) for k in range(6)])]}
+    parts = spark.createDataFrame([*shapes.items()], f"name string, rings {RINGS}")
+    assert [tuple(r) for r in overlay.ring_faults(parts, ["name"]).collect()] == [("star", "crossing")]
