@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinderlake.functions import geometry as g
@@ -20,6 +20,8 @@ from cinderlake.session import cut_lineage
 
 EDGE_BYTES = 64
 BROADCAST_BYTES = 256 * 1024 * 1024
+# Stations that a point meets in one row.
+TOGETHER = 64
 
 
 def _cell(c: Column, size: float) -> Column:
@@ -143,6 +145,9 @@ def nearest_station(
     a bucket is as wide as everything, so the answer is exact for any layout of stations. Unless
     `bucket` is given, the first width comes from the stations' median spacing, found by one sketch of
     their sorted coordinates. Points and stations without two finite coordinates take no part.
+
+    A point meets the stations near its bucket as arrays of at most `TOGETHER`, so it is a row or a
+    few, and no row for each pair is held; points are dealt out by key before they meet any.
     """
     def finite(frame: DataFrame, *names: str) -> DataFrame:
         for c in names:
@@ -151,7 +156,7 @@ def nearest_station(
 
     rows = stations.groupBy(F.col(x).alias("sx"), F.col(y).alias("sy")).agg(F.min(station).alias("station"))
     rows = cut_lineage(finite(rows, "sx", "sy"))
-    waiting = finite(points.select(F.col(key), F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py")), "px", "py")
+    waiting = finite(points.select(F.col(key), F.col(x).cast("double").alias("px"), F.col(y).cast("double").alias("py")), "px", "py").repartition(F.col(key))
     quantiles = [q / 8 for q in range(9)]
     extent = rows.agg(F.count("sx").alias("n"), F.percentile_approx("sx", quantiles).alias("x"), F.percentile_approx("sy", quantiles).alias("y"),
                       F.min("sx").alias("x0"), F.max("sx").alias("x1"), F.min("sy").alias("y0"), F.max("sy").alias("y1")).first()
@@ -171,15 +176,16 @@ def nearest_station(
     done = None
     offsets = F.sequence(F.lit(-1), F.lit(1))
     while True:  # at most 11 rounds: from reach / 2**20 to reach by steps of four
-        spread = rows.withColumn("dx", F.explode(offsets)).withColumn("dy", F.explode(offsets)).select(
+        spread = rows.filter(F.col("station").isNotNull()).withColumn("dx", F.explode(offsets)).withColumn("dy", F.explode(offsets)).select(
             "station", "sx", "sy", (_cell(F.col("sx"), size) + F.col("dx")).alias("bx"),
             (_cell(F.col("sy"), size) + F.col("dy")).alias("by"))
+        place = F.row_number().over(Window.partitionBy("bx", "by").orderBy("sx", "sy")) - 1
+        near = spread.withColumn("some", F.floor(place / TOGETHER)).groupBy("bx", "by", "some").agg(F.collect_list(F.struct("station", "sx", "sy")).alias("near"))
+        met = F.array_min(F.transform("near", lambda s: F.struct(
+            F.sqrt(F.pow(F.col("px") - s["sx"], 2) + F.pow(F.col("py") - s["sy"], 2)).alias("distance"), s["station"].alias("station"))))
         tried = waiting.withColumn("bx", _cell(F.col("px"), size)).withColumn("by", _cell(F.col("py"), size)) \
-            .join(spread, ["bx", "by"], "left") \
-            .withColumn("distance", F.sqrt(F.pow(F.col("px") - F.col("sx"), 2) + F.pow(F.col("py") - F.col("sy"), 2))) \
-            .groupBy(key).agg(
-                F.min("px").alias("px"), F.min("py").alias("py"),
-                F.min(F.when(F.col("station").isNotNull(), F.struct("distance", "station"))).alias("hit"))
+            .join(near, ["bx", "by"], "left").withColumn("met", met) \
+            .groupBy(key).agg(F.min("px").alias("px"), F.min("py").alias("py"), F.min("met").alias("hit"))
         tried = cut_lineage(tried)
         last = size > reach  # all stations are in neighbouring buckets now
         final = F.lit(True) if last else F.coalesce(F.col("hit.distance") <= size, F.lit(False))

@@ -159,3 +159,25 @@ def test_equal_parts_of_a_perimeter_count_once(spark):
     ring = [[{"x": x, "y": y} for x, y in [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]]]
     parts = spark.createDataFrame([(1, 1, ring), (1, 2, ring), (2, 1, ring)], f"fire_id int, part int, rings {RINGS}")
     assert sorted((r["fire_id"], r["part"]) for r in sp.perimeter_parts(parts).collect()) == [(1, 1), (2, 1)]
+
+
+def test_nearest_station_holds_no_row_for_each_pair(spark, monkeypatch):
+    """Two thousand points beside three hundred stations of one bucket: rows for points and arrays only."""
+    monkeypatch.setattr(sp, "TOGETHER", 50)
+    stations = [(f"s{k:03}", math.cos(k), math.sin(k)) for k in range(300)]
+    points = [(k, math.cos(k / 7) * 2, math.sin(k / 7) * 2) for k in range(2000)]
+    met = []
+
+    def seen(df):
+        if "hit" in df.columns:
+            plan = df._jdf.queryExecution().optimizedPlan()
+            met.append("collect_list" in plan.toString())
+        return sp_cut(df)
+
+    sp_cut = sp.cut_lineage
+    monkeypatch.setattr(sp, "cut_lineage", seen)
+    near = sp.nearest_station(spark.createDataFrame(points, "id long, lon double, lat double"),
+                              spark.createDataFrame(stations, "station string, lon double, lat double"), key="id", bucket=10.0)
+    got = {r["id"]: r["station"] for r in near.collect()}
+    want = {k: min((math.sqrt((x - a) ** 2 + (y - b) ** 2), s) for s, a, b in stations)[1] for k, x, y in points}
+    assert got == want and met and all(met)
