@@ -78,7 +78,7 @@ def xml_roundtrip(spark, d):
 
 
 def weather_json_roundtrip(spark, d):
-    """Daily extremes of each user as one landed reply per user; the last maximum is cut off."""
+    """Daily extremes of each user as one landed reply per user, a line each; the last maximum is cut off."""
     path = scratch_path(spark, "weather-json")
     e = star.table(spark, d, "events")
     days = e.groupBy("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.max("value").alias("hi"), F.min("value").alias("lo"))
@@ -86,8 +86,8 @@ def weather_json_roundtrip(spark, d):
     body = F.struct(
         F.col("user_id").cast("double").alias("latitude"), F.lit(-8.5).alias("longitude"),
         F.struct(F.col("r.day").alias("time"), F.slice("r.hi", 1, F.size("r") - 1).alias("temperature_2m_max"), F.col("r.lo").alias("temperature_2m_min")).alias("daily"))
-    reply.select("user_id", F.to_json(body).alias("value")).write.partitionBy("user_id").text(path)
-    back = lookups.daily_weather(lookups.read_weather_json(spark, path))
+    reply.select(F.to_json(body).alias("value")).write.text(path)
+    back = lookups.daily_weather(lookups.read_weather_json(spark, path, lines=True))
     return back.select(F.col("lat").cast("bigint").alias("user_id"), "date", "temp_max", "temp_min")
 
 

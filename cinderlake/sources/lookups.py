@@ -8,9 +8,13 @@ from pyspark.sql import functions as F
 from cinderlake import schema
 
 
-def read_weather_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Landed daily-weather replies, one row per reply."""
-    return spark.read.schema(schema.WEATHER_RESPONSE).option("multiLine", "true").json(path)
+def read_weather_json(spark: SparkSession, path: str | list[str], lines: bool = False) -> DataFrame:
+    """Landed daily-weather replies, one row per reply.
+
+    A file is one reply or an array of them; with `lines` it has a reply on each line, so that many
+    replies land in few files and a large file is read by many tasks.
+    """
+    return spark.read.schema(schema.WEATHER_RESPONSE).option("multiLine", str(not lines).lower()).json(path)
 
 
 def explode_daily(

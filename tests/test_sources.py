@@ -136,3 +136,16 @@ def test_odd_file_names_stay_as_they_are(spark, tmp_path):
     assert sorted(map(tuple, rows)) == [(str(n), name) for n, name in enumerate(names)]
     found = [r["source_file"] for r in occ.find_files(spark, str(tmp_path), "*.csv").collect()]
     assert found == sorted(names)
+
+
+def test_weather_replies_land_in_few_files(spark, tmp_path, monkeypatch):
+    """One reply per user, a line each: no folder for each user."""
+    from cinderlake.catalog import source_queries
+
+    spark.range(400).selectExpr("id AS event_id", "timestamp_ntz'2020-01-01 05:00:00' + make_dt_interval(cast(id % 2 AS int)) AS ts",
+                                "CASE WHEN id >= 4 THEN id div 4 END AS user_id", "'a' AS event_type", "cast(id AS double) AS value", "'{}' AS props") \
+        .write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(source_queries, "scratch_path", lambda *_: f"{tmp_path}/landed")
+    found = {(r["user_id"], str(r["date"])): (r["temp_max"], r["temp_min"]) for r in source_queries.weather_json_roundtrip(spark, str(tmp_path)).collect()}
+    assert len(found) == 200 and found[7, "2020-01-01"] == (30.0, 28.0) and found[None, "2020-01-02"] == (None, 1.0)
+    assert len(list((tmp_path / "landed").rglob("part-*"))) <= 8
