@@ -158,3 +158,12 @@ def test_stars_and_rounds(spark):
     shapes = {"star": [closed(*star)], "round": [closed(*[(9 * math.cos(k), 9 * math.sin(k)) for k in range(6)])]}
     parts = spark.createDataFrame([*shapes.items()], f"name string, rings {RINGS}")
     assert [tuple(r) for r in overlay.ring_faults(parts, ["name"]).collect()] == [("star", "crossing")]
+
+
+def test_perimeters_of_a_year_need_no_grid(spark, monkeypatch):
+    squares = [closed((k, 0), (k + 4, 0), (k + 4, 4), (k, 4)) for k in range(3)]
+    parts = spark.createDataFrame([(f, n, [s]) for f in (1, 2, 3) for n, s in enumerate(squares)], f"fire_id long, part int, rings {RINGS}")
+    fact = spark.sql("SELECT id, year, cast(day AS timestamp_ntz) AS ts FROM VALUES (1L, 1999, '1999-05-01'), (2L, 1999, '1999-07-01'), (3L, 1998, '1998-07-01') v(id, year, day)")
+    monkeypatch.delattr(overlay, "cut_edges")
+    found = perimeters.perimeters_since(fact, parts, 1999, "1999-06-01").select("id", "perimeter_parts", "perimeter_area").collect()
+    assert [tuple(r) for r in found] == [(2, 3, pytest.approx(24.0))]
