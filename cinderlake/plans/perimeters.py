@@ -18,12 +18,14 @@ def usable_parts(parts: DataFrame, grid: float = 1e-5) -> DataFrame:
     """
     keys = ["fire_id", "part", "_rings"]
     named = parts.select("fire_id", "part", F.xxhash64("rings").alias("_rings"), "rings")
-    judged = overlay.judged_parts(named, keys, grid=grid).filter("_fault IS NULL").select(*named.columns, "_judged")
-    judged = staged(judged, "judged-parts")
-    out = ["fire_id", "part", g.snap_rings("rings", grid).alias("rings")]
-    usable, large = judged.filter("_judged").select(*out), judged.filter("NOT _judged").drop("_judged")
+    judged = overlay.judged_parts(named, keys, grid=grid).filter("_fault IS NULL")
+    # Snapped once, where they are written; only parts that are judged later keep their own rings.
+    judged = staged(judged.select(
+        *keys, "_judged", F.when(F.col("_judged"), g.snap_rings("rings", grid)).otherwise(F.col("rings")).alias("rings")), "judged-parts")
+    usable, large = judged.filter("_judged").select("fire_id", "part", "rings"), judged.filter("NOT _judged").drop("_judged")
     if large.isEmpty():
         return usable
+    out = ["fire_id", "part", g.snap_rings("rings", grid).alias("rings")]
     faults = overlay.ring_faults(large, keys, grid=grid).select(*[F.col(k).alias(f"_{k}") for k in keys])
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     return usable.unionByName(staged(large.join(faults, same, "left_anti").select(*out), "large-parts"))

@@ -167,3 +167,17 @@ def test_perimeters_of_a_year_need_no_grid(spark, monkeypatch):
     monkeypatch.delattr(overlay, "cut_edges")
     found = perimeters.perimeters_since(fact, parts, 1999, "1999-06-01").select("id", "perimeter_parts", "perimeter_area").collect()
     assert [tuple(r) for r in found] == [(2, 3, pytest.approx(24.0))]
+
+
+def test_parts_are_snapped_and_shapes_counted_once(spark, monkeypatch, capsys):
+    """Usable parts are read as they were written; edges are counted of shapes of many points only."""
+    squares = [closed((k, 0), (k + 4, 0), (k + 4, 4), (k, 4.000001)) for k in range(20)]
+    parts = spark.createDataFrame([(f, n, [s]) for f, many in ((1, 20), (2, 3)) for n, s in enumerate(squares[:many])], f"fire_id long, part int, rings {RINGS}")
+    usable = perimeters.usable_parts(parts)
+    usable.explain()
+    assert "rint" not in capsys.readouterr().out.lower()
+    assert {v["y"] for r in usable.collect() for v in r["rings"][0]} == {0.0, 4.0}
+    monkeypatch.delattr(overlay, "cut_edges")  # twenty squares have eighty edges, but forty that are not level
+    assert {r["fire_id"]: r["area"] for r in overlay.union_areas(usable).collect()} == {1: pytest.approx(92.0), 2: pytest.approx(24.0)}
+    monkeypatch.delattr(overlay.g, "polygon_edges")
+    assert [r["area"] for r in overlay.union_areas(usable.filter("fire_id = 2")).collect()] == [pytest.approx(24.0)]
