@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cinderlake import schema
 from cinderlake.functions.parsing import on_or_after
 from cinderlake.operators.filters import FilterChain, default_chain
-from cinderlake.operators.incremental import landed_periods, last_write_wins, window_start
+from cinderlake.operators.incremental import landed_periods, last_write_wins, window_start, without_keys
 from cinderlake.operators.weather import incident_spans, weather_detail, weather_summary
 from cinderlake.plans import conform
 from cinderlake.session import staged
@@ -54,8 +54,21 @@ def typed_from_files(spark: SparkSession, source: str, start: dt.date | None = N
         typed = typed.filter(F.coalesce(on_or_after(F.col("ANO"), F.col("MES"), F.col("DIA"), start), F.lit(True)) | (F.size("bad_columns") > 0))
     typed = staged(typed, "typed-text")
     good = accepted(typed)
-    rest = [c for c in good.columns if c not in ("ANO", "original_id", "ingest_seq")]
-    return last_write_wins(good, order=("ingest_seq", *rest)), quarantined(typed)
+    return _last_written(good), quarantined(typed)
+
+
+def _last_written(good: DataFrame) -> DataFrame:
+    """One row per year and id of staged rows. Only rows whose key another row has are compared; the others stay as they are."""
+    keys = ("ANO", "original_id")
+    shared = staged(good.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(*keys), "shared-keys")
+    if shared.isEmpty():
+        return good
+    taken = shared.select(*[F.col(c).alias(f"_{c}") for c in keys])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    rest = [c for c in good.columns if c not in (*keys, "ingest_seq")]
+    last = last_write_wins(good.join(taken, same, "left_semi"), keys, ("ingest_seq", *rest))
+    # staged: it is read several times
+    return staged(without_keys(good, shared, keys).unionByName(last), "typed")
 
 
 def _table(spark: SparkSession, path: str, ddl: str) -> DataFrame:
@@ -80,7 +93,7 @@ def build_fact(
     root = warehouse.rstrip("/")
     good, bad = typed_from_files(spark, source, start, pattern, recursive)
     dims = {n: _table(spark, f"{root}/ref/{n}", "id int, raw_name string, code string") for n in schema.CODE_TABLES}
-    done = conform.conform(staged(good, "typed"), parishes, dims, start=start, cell=cell, use_ine=use_ine)
+    done = conform.conform(good, parishes, dims, start=start, cell=cell, use_ine=use_ine)
     fresh = staged(done.fact, "fact")
     # Dimensions only grow and go first: facts of a job that dies later never hold ids that no dimension has.
     _grow_dimensions(dims, done.dimensions, f"{root}/ref")

@@ -126,3 +126,19 @@ def test_units_from_boundaries(spark, rows):
                                f"dicofre string, freguesia string, concelho string, distrito string, rings {RINGS}")
     assert rows(units_from_boundaries(df), "code", "level", "area") == [
         ("01", 1, 2.75), ("0101", 2, 2.0), ("010101", 3, 1.0), ("010102", 3, 1.0), ("0102", 2, 0.75), ("010201", 3, 0.75)]
+
+
+def test_only_rows_of_shared_keys_are_compared(spark, tmp_path, rows, monkeypatch):
+    source = tmp_path / "in"
+    source.mkdir()
+    write_year(source, 2001, dict(id="a", LOCAL="a1"), dict(id="a", LOCAL="a2"), dict(id="b"), dict(id=None, LOCAL="n1"), dict(id=None, LOCAL="n2"), dict(id="c", AREATOTAL="oops"))
+    write_year(source, 2002, dict(id="a", LOCAL="other year"), dict(id="d"), dict(id="d"))
+    compared, pick = [], jobs.last_write_wins
+    monkeypatch.setattr(jobs, "last_write_wins", lambda df, *order: compared.append(df.count()) or pick(df, *order))
+    good, bad = jobs.typed_from_files(spark, str(source))
+    assert rows(good, "ANO", "original_id", "LOCAL") == sorted(
+        [(2001, "a", "a2"), (2001, "b", None), (2001, None, "n2"), (2002, "a", "other year"), (2002, "d", None)], key=lambda t: tuple((v is None, str(v)) for v in t))
+    assert rows(bad, "original_id") == [("c",)] and compared == [6]
+    (source / "2001.csv").unlink()
+    write_year(source, 2002, dict(id="a"), dict(id="b"))
+    assert rows(jobs.typed_from_files(spark, str(source))[0], "original_id") == [("a",), ("b",)] and compared == [6]
